@@ -1,0 +1,41 @@
+"""The whole way from documents and scores to the terms that set bands apart."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+
+from bandlex.operators.bands import LABELS, banded_corpus, banded_scores
+from bandlex.operators.contrast import distinctive_terms, topk_terms
+from bandlex.operators.index import idf_by_band
+from bandlex.operators.tokens import Stopwords
+
+TOP_K = 200
+
+
+def build_corpus(
+    docs: DataFrame,
+    scores: DataFrame,
+    cuts: tuple[float, float] | None = None,
+    labels: tuple[str, str, str] = LABELS,
+    on_missing: str = "error",
+) -> DataFrame:
+    """Documents with the band of their author."""
+    return banded_corpus(docs, banded_scores(scores, cuts, labels), on_missing)
+
+
+def run(
+    docs: DataFrame,
+    scores: DataFrame,
+    stopwords: Stopwords = None,
+    cuts: tuple[float, float] | None = None,
+    k: int = TOP_K,
+    n_docs: Column | int | None = None,
+    labels: tuple[str, str, str] = LABELS,
+    on_missing: str = "error",
+) -> DataFrame:
+    """``band, term, df, idf, forms, rk`` of the terms in one band's top ``k`` only.
+
+    ``docs`` has ``doc_id, author, text``; ``scores`` has ``author, score``.
+    """
+    corpus = build_corpus(docs, scores, cuts, labels, on_missing)
+    return distinctive_terms(topk_terms(idf_by_band(corpus, n_docs, stopwords), k))
