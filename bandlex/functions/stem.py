@@ -102,12 +102,10 @@ def _drop(text: Column, n: Column | int) -> Column:
     return F.left(text, F.length(text) - n)
 
 
-def _first_rule(word: Column, suffixes) -> Column:
+def _first_rule(suffixes) -> Column:
     """1-based number of the first suffix the word ends with, 0 when there is none."""
-    found = F
-    for number, suffix in enumerate(suffixes, start=1):
-        found = found.when(word.endswith(_mark(suffix)), number)
-    return found.otherwise(0)
+    cases = (f"WHEN endswith({_WORD}, '{_mark(s)}') THEN {n}" for n, s in enumerate(suffixes, start=1))
+    return F.expr(f"CASE {' '.join(cases)} ELSE 0 END")
 
 
 def _pick(values, none, rule: Column) -> Column:
@@ -160,13 +158,13 @@ def add_stem(df: DataFrame, token: str = "token", term: str = "term") -> DataFra
 
     # suffixes replaced where m > 0 before them
     for rules in (LONG_SUFFIXES, SHORT_SUFFIXES):
-        plan = plan.withColumn(_RULE, _first_rule(word, rules))
+        plan = plan.withColumn(_RULE, _first_rule(rules))
         stem = _drop(word, _pick(map(len, rules), 0, rule))
         replaced = F.concat(stem, _pick(map(_mark, rules.values()), "", rule))
         plan = plan.withColumn(_WORD, F.when((rule > 0) & stem.rlike(_M_OVER_0), replaced).otherwise(word))
 
     # suffixes dropped where m > 1 before them; -ion only after s or t, which stays
-    plan = plan.withColumn(_RULE, _first_rule(word, DROPPED_SUFFIXES))
+    plan = plan.withColumn(_RULE, _first_rule(DROPPED_SUFFIXES))
     stem = _drop(word, _pick((3 if s in ("sion", "tion") else len(s) for s in DROPPED_SUFFIXES), 0, rule))
     plan = plan.withColumn(_WORD, F.when((rule > 0) & stem.rlike(_M_OVER_1), stem).otherwise(word))
 

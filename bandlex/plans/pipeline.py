@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 
 from bandlex.operators.bands import LABELS, banded_corpus, banded_scores
 from bandlex.operators.contrast import distinctive_terms, topk_terms
-from bandlex.operators.index import idf_by_band
+from bandlex.operators.index import count_documents, idf_by_band
 from bandlex.operators.tokens import Stopwords
+from bandlex.plans.settle import settle
 
 TOP_K = 200
 
@@ -19,8 +20,12 @@ def build_corpus(
     labels: tuple[str, str, str] = LABELS,
     on_missing: str = "error",
 ) -> DataFrame:
-    """Documents with the band of their author."""
-    return banded_corpus(docs, banded_scores(scores, cuts, labels), on_missing)
+    """Documents with the band of their author.
+
+    Scores are one row per author but may come from a scan of the whole collection, and
+    the cut points, the size check and the join each need them: they are settled first.
+    """
+    return banded_corpus(docs, banded_scores(settle(scores), cuts, labels), on_missing)
 
 
 def run(
@@ -38,4 +43,7 @@ def run(
     ``docs`` has ``doc_id, author, text``; ``scores`` has ``author, score``.
     """
     corpus = build_corpus(docs, scores, cuts, labels, on_missing)
+    if n_docs is None:
+        # without the join when it keeps every document
+        n_docs = count_documents(docs if on_missing == "error" else corpus)
     return distinctive_terms(topk_terms(idf_by_band(corpus, n_docs, stopwords), k))

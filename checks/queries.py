@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from bandlex.functions.text import author_from_file_name, normalize_text
 from bandlex.operators import bands, contrast, density, index, tokens
 from bandlex.plans.pipeline import build_corpus, run
+from bandlex.plans.settle import settle
 from bandlex.sources.readers import read_table
 
 # Fixed value: the stop words both sides of a comparison use.
@@ -42,11 +43,13 @@ def _corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _idf_table(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return index.idf_by_band(_corpus(spark, sf_dir), stopwords=STOPWORDS, **options)
+    n_docs = index.count_documents(_table(spark, sf_dir, "documents"))
+    return index.idf_by_band(_corpus(spark, sf_dir), n_docs, STOPWORDS, **options)
 
 
 def _distinctive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(_documents(spark, sf_dir), _scores(spark, sf_dir), STOPWORDS)
+    n_docs = index.count_documents(_table(spark, sf_dir, "documents"))
+    return run(_documents(spark, sf_dir), _scores(spark, sf_dir), STOPWORDS, n_docs=n_docs)
 
 
 def _shown(table: DataFrame, *columns: str) -> DataFrame:
@@ -148,7 +151,7 @@ def q_density_thirds_stepped(spark, sf_dir):
 
 
 def q_score_band(spark, sf_dir):
-    scored = bands.banded_scores(_scores(spark, sf_dir))
+    scored = bands.banded_scores(settle(_scores(spark, sf_dir)))
     return scored.select(F.col("author").alias("source"), F.round("score", 6).alias("score"), "band")
 
 
