@@ -138,12 +138,13 @@ def add_stem(df: DataFrame, token: str = "token", term: str = "term") -> DataFra
         .otherwise(0),
     )
     plan = plan.withColumn(_WORD, _drop(word, rule))
-    # after a removed -ed or -ing, 1 restores a final e, -1 undoes a double consonant
+    # after a removed -ed or -ing, 1 restores a final e, -1 undoes a double consonant;
+    # of two y one is a vowel, so a double one shows as Yy
     plan = plan.withColumn(
         _RULE,
         F.when(rule < 2, 0)
         .when(word.endswith("At") | word.endswith("bl") | word.endswith("Iz"), 1)
-        .when(word.rlike(r"([^A-Zlsz])\1$"), -1)
+        .when(word.rlike(r"(?:([^A-Zlsz])\1|Yy)$"), -1)
         .when(word.rlike(_SHORT + "$"), 1)
         .otherwise(0),
     )

@@ -13,6 +13,8 @@ def session(master: str | None = None, **settings: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # the default of 100 drops compiled code between two runs of a larger query
+        "spark.sql.codegen.cache.maxEntries": "2000",
     }
     for name, value in {**defaults, **settings}.items():
         builder = builder.config(name, value)

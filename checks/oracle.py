@@ -177,7 +177,7 @@ thirds AS (
 )"""
 _ON_CURVE = "\ncandidates AS (SELECT x, cdf FROM curve)"
 _ON_STEPS = f"""
-steps AS (SELECT {STEPS["lo"]} + k * {STEPS["step"]} AS x
+steps AS (SELECT {STEPS["lo"]}::DOUBLE + k * {STEPS["step"]}::DOUBLE AS x
           FROM range({int((STEPS["hi"] - STEPS["lo"]) / STEPS["step"]) + 1}) AS r(k)),
 candidates AS (
   SELECT s.x, CASE

@@ -1,0 +1,81 @@
+import random
+
+import numpy as np
+import pytest
+
+from bandlex.operators.density import density_thirds, score_density
+from bandlex.operators.quantiles import summarize
+
+
+def direct(values):
+    v = np.asarray(values, dtype=float)
+    q1, q3 = np.percentile(v, [25, 75])
+    bw = 0.9 * min(v.std(ddof=1), (q3 - q1) / 1.34) * len(v) ** -0.2
+    x = np.linspace(v.min() - 3 * bw, v.max() + 3 * bw, 512)
+    y = np.exp(-0.5 * ((x[:, None] - v) / bw) ** 2).sum(1) / (len(v) * bw * np.sqrt(2 * np.pi))
+    return x, y
+
+
+def scores(spark, values):
+    return spark.createDataFrame([(float(v),) for v in values], "score double")
+
+
+def test_curve_is_close_to_the_direct_sum(spark):
+    rng = random.Random(3)
+    values = [rng.gauss(-0.9, 0.3) for _ in range(60)] + [rng.gauss(0.8, 0.4) for _ in range(40)]
+    rows = score_density(scores(spark, values)).orderBy("x").collect()
+    x, y = direct(values)
+    assert np.allclose([r.x for r in rows], x, atol=1e-9)
+    assert np.abs(np.array([r.density for r in rows]) - y).max() < 1e-3 * y.max()
+    assert abs(rows[-1].cdf - 1) < 1e-3
+    f = np.concatenate([[0], np.cumsum((y[1:] + y[:-1]) / 2 * np.diff(x))])
+    cuts = density_thirds(scores(spark, values)).first()
+    lower = np.argmax(f > 1 / 3)
+    upper = np.argmax(f - f[lower] > 1 / 3)
+    assert abs(cuts.lower - x[lower]) <= x[1] - x[0] and abs(cuts.upper - x[upper]) <= x[1] - x[0]
+
+
+@pytest.mark.parametrize("lo, hi, step", [(-3.0, 3.0, 0.01), (-0.5, 0.4, 0.1), (-20.0, 20.0, 0.5)])
+def test_stepped_cuts(spark, lo, hi, step):
+    rng = random.Random(5)
+    values = [rng.gauss(0, 0.8) for _ in range(80)]
+    x, y = direct(values)
+    fine = np.linspace(lo, hi, 400_001)
+    height = np.interp(fine, x, y)
+    area = np.concatenate([[0], np.cumsum((height[1:] + height[:-1]) / 2 * np.diff(fine))])
+    steps = lo + step * np.arange(int(round((hi - lo) / step)) + 1)
+    at = np.interp(steps, fine, area)
+    first = np.argmax(at > 1 / 3) if (at > 1 / 3).any() else None
+    second = None
+    if first is not None and (at - at[first] > 1 / 3).any():
+        second = np.argmax(at - at[first] > 1 / 3)
+    cuts = density_thirds(scores(spark, values), lo=lo, hi=hi, step=step).first()
+    for found, expected in ((cuts.lower, first), (cuts.upper, second)):
+        if expected is None:
+            assert found is None
+        else:
+            assert abs(found - steps[expected]) < 1e-9
+
+
+def test_degenerate_columns(spark):
+    assert score_density(scores(spark, [])).count() == 0
+    assert tuple(density_thirds(scores(spark, [])).first()) == (None, None)
+    assert abs(max(r.cdf for r in score_density(scores(spark, [2.0] * 5)).collect()) - 1) < 1e-2
+    mixed = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (2.0,), (4.0,)], "score double")
+    assert score_density(mixed).count() == 512
+
+
+@pytest.mark.parametrize("shape", ["even", "few values", "heavy tail", "one hot value"])
+def test_exact_quantiles_of_a_large_column(spark, shape):
+    rng = random.Random(11)
+    make = {
+        "even": lambda: rng.random(),
+        "few values": lambda: float(rng.randint(0, 3)),
+        "heavy tail": lambda: rng.paretovariate(0.5),
+        "one hot value": lambda: 5.0 if rng.random() < 0.6 else rng.random() * 10,
+    }[shape]
+    values = [make() for _ in range(30_000)]
+    probs = (0.0, 0.25, 0.5, 0.75, 1.0)
+    found = summarize(scores(spark, values), "score", probs)
+    assert np.allclose(found.quantiles, np.percentile(values, [100 * p for p in probs]), rtol=1e-12)
+    assert found.n == 30_000 and np.isclose(found.sd, np.std(values, ddof=1))
