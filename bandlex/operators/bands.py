@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bandlex.functions.text import NUMBER, WHOLE_NUMBER, trim
 from bandlex.operators.density import density_thirds
-from bandlex.operators.lookup import MAX_BROADCAST_BYTES, join_lookup
+from bandlex.operators.lookup import MAX_BROADCAST_BYTES, fits_broadcast, join_lookup
 
 LABELS = ("LOW", "MID", "HIGH")
 
@@ -72,11 +72,20 @@ def banded_corpus(
 
     A document whose author has no score makes the query fail, unless
     ``on_missing="quarantine"``: then it is left out, and `unscored_documents` has it.
+
+    With more authors than can be broadcast, only ids and authors are shuffled by author,
+    which one author may dominate; the text is shuffled by id, evenly, and stays where
+    the grouping by document needs it.
     """
     if on_missing not in ("error", "quarantine"):
         raise ValueError(f"on_missing must be 'error' or 'quarantine', not {on_missing!r}")
     how = "left" if on_missing == "error" else "inner"
-    joined = join_lookup(docs, banded.select("author", "score", "band"), "author", how, max_broadcast_bytes)
+    banded = banded.select("author", "score", "band")
+    if fits_broadcast(banded, "author", max_broadcast_bytes):
+        joined = docs.join(F.broadcast(banded), "author", how)
+    else:
+        bands = docs.select("doc_id", "author").join(banded, "author", how).drop("author")
+        joined = docs.join(bands, "doc_id", how)
     if on_missing == "error":
         message = F.concat(F.lit("no score for author "), F.coalesce("author", F.lit("(none)")))
         checked = F.when(F.col("band").isNull(), F.raise_error(message)).otherwise(F.col("band"))

@@ -1,4 +1,5 @@
 import math
+import re
 
 import pytest
 from pyspark.errors import SparkRuntimeException
@@ -13,6 +14,7 @@ from bandlex.operators.bands import (
     score_last_wins,
     unscored_documents,
 )
+from bandlex.operators.index import document_frequency
 
 
 def test_score_lines(spark):
@@ -73,12 +75,24 @@ def test_missing_author(spark, docs, scores):
     assert [r.doc_id for r in unscored_documents(docs, some).collect()] == [50]
 
 
-def test_shuffled_join_gives_the_same(docs, scores):
+@pytest.mark.parametrize("on_missing", ["error", "quarantine"])
+def test_shuffled_join_gives_the_same(spark, docs, scores, on_missing):
     banded = banded_scores(scores, (-0.5, 0.5))
-    small, large = banded_corpus(docs, banded), banded_corpus(docs, banded, max_broadcast_bytes=0)
-    assert "ResolvedHint (strategy=broadcast)" in small._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
-    assert sorted(small.collect()) == sorted(large.collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = banded_corpus(docs, banded, on_missing)
+        large = banded_corpus(docs, banded, on_missing, max_broadcast_bytes=0)
+        plan = large._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan
+        # the skewed key moves ids only; grouping by document adds no further exchange
+        frequencies = document_frequency(large, ["band"])
+        exchanges = re.findall(r"Exchange hashpartitioning\((\w+)#", frequencies._jdf.queryExecution().executedPlan().toString())
+        assert sorted(exchanges) == ["author", "author", "band", "doc_id", "doc_id"]
+        assert sorted(small.collect()) == sorted(large.collect())
+        assert sorted(frequencies.collect()) == sorted(document_frequency(small, ["band"]).collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(r.n for r in band_sizes(small).collect()) == 200
 
 
