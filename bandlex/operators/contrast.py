@@ -47,7 +47,8 @@ def distinctive_terms(top: DataFrame) -> DataFrame:
 
 
 def top_words(distinctive: DataFrame, band: str, n: int) -> DataFrame:
-    """First surface form of the ``n`` least frequent distinctive terms of a band."""
-    word = F.get("forms", F.lit(0)).alias("word")
+    """First surface form of the ``n`` least frequent distinctive terms of a band; empty
+    for a term that kept no form."""
+    word = F.coalesce(F.get("forms", F.lit(0)), F.lit("")).alias("word")
     of_band = distinctive.where(F.col("band") == band).select(word, "idf")
     return of_band.orderBy(F.desc("idf"), F.desc("word")).limit(n)

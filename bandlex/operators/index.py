@@ -34,6 +34,16 @@ def _colocate(docs: DataFrame, by: Sequence[str], colocated: bool) -> DataFrame:
     return slim if colocated else slim.repartition("doc_id")
 
 
+def _counted_words(
+    docs: DataFrame, by: Sequence[str], stopwords: Stopwords, colocated: bool
+) -> DataFrame:
+    """Words with ``counts``: 1 for the first form of a term within a document, else 0,
+    so that a sum over any number of forms counts documents."""
+    words = doc_term_forms(_colocate(docs, by, colocated), by, stopwords)
+    in_document = Window.partitionBy("doc_id", *by, "term").orderBy("pos")
+    return words.withColumn("counts", F.when(F.row_number().over(in_document) == 1, 1).otherwise(0))
+
+
 def document_frequency(
     docs: DataFrame, by: Sequence[str] = (), stopwords: Stopwords = None, colocated: bool = False
 ) -> DataFrame:
@@ -42,8 +52,8 @@ def document_frequency(
     ``colocated=True`` says that ``docs`` is partitioned by ``doc_id`` already, for
     example a table bucketed by it, and saves the shuffle of the text.
     """
-    words = doc_term_forms(_colocate(docs, by, colocated), by, stopwords)
-    return words.select("doc_id", *by, "term").distinct().groupBy(*by, "term").agg(F.count("*").alias("df"))
+    words = _counted_words(docs, by, stopwords, colocated)
+    return words.groupBy(*by, "term").agg(F.sum("counts").alias("df"))
 
 
 def _ordered_forms(occurrences: DataFrame, by: Sequence[str], *more: Column) -> DataFrame:
@@ -66,14 +76,11 @@ def term_statistics(
 ) -> DataFrame:
     """``df`` and ``forms`` per term in one pass over the text.
 
-    Within a document the first form of a term carries the count of 1, the others 0, so
-    summing over the forms counts documents.  Both sums are combined before each shuffle;
-    what is shuffled beyond the text is the vocabulary, not the occurrences.
+    Sums are combined before each shuffle; what is shuffled beyond the text is the
+    vocabulary, not the occurrences.
     """
-    words = doc_term_forms(_colocate(docs, by, colocated), by, stopwords)
-    in_document = Window.partitionBy("doc_id", *by, "term").orderBy("pos")
-    counted = words.withColumn("counts", F.when(F.row_number().over(in_document) == 1, 1).otherwise(0))
-    per_form = counted.groupBy(*by, "term", "token").agg(F.sum("counts").alias("df"), *_first_occurrence())
+    words = _counted_words(docs, by, stopwords, colocated)
+    per_form = words.groupBy(*by, "term", "token").agg(F.sum("counts").alias("df"), *_first_occurrence())
     return _ordered_forms(per_form, by, F.sum("df").alias("df"))
 
 

@@ -262,6 +262,9 @@ SELECT p_partkey, upper(string_split(p_name, ' ')[2]) AS name_key FROM part""",
         + "SELECT author, arg_max(score, line_no) AS score FROM parsed GROUP BY author",
         "tokenize": _ctes(_PIECES, _TOKENS) + "SELECT doc_id, pos, token FROM tokens",
         "stopword_filter": _ctes(_PIECES, _TOKENS, _STOPPED) + "SELECT doc_id, pos, token FROM words",
+        "stopword_anti_join": _ctes(_PIECES, _TOKENS)
+        + f"""SELECT doc_id, pos, token FROM tokens ANTI JOIN
+(SELECT unnest([{", ".join(f"'{w}'" for w in STOPWORDS)}]) AS token) USING (token)""",
         "stem_vocabulary": _ctes(_PIECES, _TOKENS, _stems("tokens")) + "SELECT token, term FROM stems",
         "doc_term_forms": _WORDS + "SELECT DISTINCT doc_id, term, token FROM occurrences",
         "document_frequency": _WORDS + "SELECT term, count(DISTINCT doc_id) AS df FROM occurrences GROUP BY term",

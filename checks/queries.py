@@ -104,6 +104,12 @@ def q_stopword_filter(spark, sf_dir):
     return tokens.remove_stopwords(q_tokenize(spark, sf_dir), STOPWORDS)
 
 
+def q_stopword_anti_join(spark, sf_dir):
+    """The same with the list as a table."""
+    listed = spark.createDataFrame([(word,) for word in STOPWORDS], "token string")
+    return tokens.remove_stopwords(q_tokenize(spark, sf_dir), listed)
+
+
 def q_stem_vocabulary(spark, sf_dir):
     return tokens.stem_vocabulary(_documents(spark, sf_dir))
 
