@@ -1,5 +1,5 @@
 """Corpus contrast on Spark: the words that set groups of documents apart."""
 
-from bandlex.plans.pipeline import build_corpus, run
+from bandlex.plans.contrast_run import build_corpus, run
 
 __all__ = ["build_corpus", "run"]

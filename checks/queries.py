@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bandlex.functions.text import author_from_file_name, normalize_text
 from bandlex.operators import bands, contrast, density, index, tokens
-from bandlex.plans.pipeline import build_corpus, run
+from bandlex.plans.contrast_run import build_corpus, run
 from bandlex.plans.settle import settle
 from bandlex.sources.readers import read_table
 

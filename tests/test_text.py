@@ -31,9 +31,9 @@ def test_normalize_text(spark, text, expected):
 @pytest.mark.parametrize(
     "name, last, full",
     [
-        ("Amy-Klobuchar_12012010_001.txt", "KLOBUCHAR", "AMY-KLOBUCHAR"),
-        ("Joe-Manchin-11242010_002.txt", "MANCHIN", "JOE-MANCHIN"),
-        (" Herb - Kohl _083182010_001.txt", "KOHL", "HERB-KOHL"),
+        ("Ann-Example_12012010_001.txt", "EXAMPLE", "ANN-EXAMPLE"),
+        ("Jo-Sample-11242010_002.txt", "SAMPLE", "JO-SAMPLE"),
+        (" Kit - Other _083182010_001.txt", "OTHER", "KIT-OTHER"),
         ("Nobody_1.txt", None, None),
     ],
 )
