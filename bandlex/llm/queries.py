@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bandlex.llm.exact_dedup import exact_duplicates
+from bandlex.llm.outliers import quality_verdicts
 from bandlex.llm.simhash import near_duplicates
 
 
@@ -14,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -23,4 +28,8 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_simhash": op5_simhash, "op6_exact_dedup": op6_exact_dedup}
+    return {
+        "op1_quality_outliers": op1_quality_outliers,
+        "op5_simhash": op5_simhash,
+        "op6_exact_dedup": op6_exact_dedup,
+    }

@@ -1,0 +1,95 @@
+"""Counts against brute force, and the robust estimate against what was planted."""
+
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from bandlex.llm import outliers
+from bandlex.llm.queries import op1_quality_outliers
+
+
+def brute_counts(text):
+    text = text or ""
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    often = Counter(windows)
+    covered = {i + j for i, w in enumerate(windows) if often[w] > 1 for j in range(3)}
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    return {
+        "n_words": len(words),
+        "word_chars": sum(map(len, words)),
+        "n_symbols": sum(c in "#*$%&|<>" for c in text),
+        "n_dup_lines": len(lines) - len(set(lines)),
+        "n_repeat_words": len(covered),
+    }
+
+
+def check_counts(rows, docs):
+    texts = {}
+    for d in docs:
+        texts.setdefault(d.doc_id, []).append(brute_counts(d.text))
+    for r in rows:
+        found = {k: r[k] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
+        assert found in texts[r.doc_id]
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert not (r.base_failed and r.kept)
+
+
+def test_query_against_brute_force_and_labels(spark, sf):
+    frame = op1_quality_outliers(spark, sf)
+    assert "Python" not in frame._jdf.queryExecution().executedPlan().toString()
+    rows = frame.collect()
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    assert sorted(r.doc_id for r in rows) == sorted(d.doc_id for d in docs)
+    check_counts(rows, docs)
+    good = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    judged = [(r.kept, good[r.doc_id]) for r in rows if r.doc_id in good and not r.base_failed]
+    assert all(kept for kept, quality in judged if quality == 1)
+    assert not any(kept for kept, quality in judged if quality == 0)
+
+
+def test_odd_rows(spark, odd_docs):
+    rows = outliers.quality_verdicts(odd_docs).collect()
+    assert len(rows) == odd_docs.count()
+    check_counts(rows, odd_docs.collect())
+    assert {r.kept for r in rows if r.n_words == 0} == {False}
+    assert outliers.quality_verdicts(odd_docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("text", ["a b c a b c", "a b c d a b c", "a a a a", "a a a", "x\n\nx\n \n \ny\nx", "a b a b a", "# é#\n# é#"])
+def test_counts_of_small_texts(spark, text):
+    row = outliers.text_counts(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert {k: row[k] for k in brute_counts(text)} == brute_counts(text)
+
+
+def test_chi_square():
+    assert math.isclose(outliers.chi2_quantile(0.95, 5), 11.0705, rel_tol=1e-4)
+    assert math.isclose(outliers.chi2_cdf(20.515, 5), 0.999, rel_tol=1e-4)
+
+
+def test_estimate_withstands_a_contaminated_third(spark):
+    rng = np.random.default_rng(5)
+    true = np.array([[0.3, 0.1, 0, 0, 0], [0.1, 0.5, 0.1, 0, 0], [0, 0.1, 0.4, 0, 0.1], [0, 0, 0, 0.6, 0], [0, 0, 0.1, 0, 0.9]])
+    good = rng.multivariate_normal([1, 2, 3, 4, 5], true, 4000)
+    bad = rng.multivariate_normal([4, 2, 9, 4, -3], true / 4, 1200)
+    points = np.round(np.vstack([good, bad]) * outliers.UNIT).astype(int).tolist()
+    rows = [("a", *p) for p in points] + [("b", *p) for p in points[:4000]]
+    vectors = spark.createDataFrame(rows, "g string, x0 long, x1 long, x2 long, x3 long, x4 long").repartition(5)
+    estimates = outliers.mcd_estimates(vectors)
+    slack = np.diag(np.square(outliers.SLACK))
+    for row in estimates.collect():
+        mean = np.array([row[m] for m in outliers.MEANS]) / outliers.UNIT
+        inverse_factor = np.zeros((5, 5))
+        for (i, j), w in zip(outliers.PAIRS, outliers.WEIGHTS):
+            inverse_factor[i, j] = row[w] * outliers.UNIT
+        covariance = np.linalg.inv(inverse_factor.T @ inverse_factor)
+        assert np.allclose(mean, [1, 2, 3, 4, 5], atol=0.06)
+        assert np.allclose(covariance, true + slack, atol=0.08)
+    far = outliers._with_distances(vectors, estimates).where("g = 'a' and d2 > 30").count()
+    assert 1190 <= far <= 1210
+    # the same, whatever the order of rows
+    again = outliers.mcd_estimates(vectors.repartition(3, "x1"))
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, estimates.collect()))
