@@ -285,7 +285,7 @@ def _starts(vectors: DataFrame) -> DataFrame:
         if kind == "apart":
             part = F.lit(1.0 if i == j else 0.0)
         else:
-            part = F.col(f"{kind}_{i}{j}") / F.sqrt(F.col(f"{kind}_{i}{i}") * F.col(f"{kind}_{j}{j}") + F.lit(1.0))
+            part = F.col(f"{kind}_{i}{j}") / F.sqrt(F.col(f"{kind}_{i}{i}").cast("double") * F.col(f"{kind}_{j}{j}") + 1.0)
         return (part * scale[i] * scale[j]).alias(f"c{i}{j}")
 
     means = [F.col(f"q2{i}").cast("double").alias(MEANS[i]) for i in range(D)]
