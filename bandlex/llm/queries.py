@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bandlex.llm.exact_dedup import exact_duplicates
+from bandlex.llm.mixing import DOMAINS, SCALE, with_rates
 from bandlex.llm.outliers import quality_verdicts
 from bandlex.llm.simhash import near_duplicates
 
@@ -19,6 +21,12 @@ def op1_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = with_rates(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), slim=True)
+    posteriors = [(F.get("p", k) / SCALE).alias(f"p_{name}") for k, name in enumerate(DOMAINS)]
+    return rows.select("doc_id", "n_tokens", *posteriors, "rate", "copies")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -30,6 +38,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_outliers": op1_quality_outliers,
+        "op3_mixing": op3_mixing,
         "op5_simhash": op5_simhash,
         "op6_exact_dedup": op6_exact_dedup,
     }
