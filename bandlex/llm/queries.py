@@ -10,7 +10,17 @@ from pyspark.sql import functions as F
 from bandlex.llm.exact_dedup import exact_duplicates
 from bandlex.llm.mixing import DOMAINS, SCALE, with_rates
 from bandlex.llm.outliers import quality_verdicts
+from bandlex.llm.packing import pack_documents
+from bandlex.llm.shared import new_path
 from bandlex.llm.simhash import near_duplicates
+from bandlex.llm.token_counts import count_tokens
+
+
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,10 +45,22 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a cache that is empty before."""
+    docs, cache = _table(spark, sf_dir, "documents"), new_path(spark, "token-counts")
+    return count_tokens(docs, tokenizer_path("byte_bpe_50k.json"), cache)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_outliers": op1_quality_outliers,
         "op3_mixing": op3_mixing,
         "op5_simhash": op5_simhash,
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_token_counts": op7_token_counts,
+        "op9_packing": op9_packing,
     }
