@@ -18,8 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bandlex.llm.shared import SPACE, settle
-from bandlex.operators.lookup import fits_broadcast
+from bandlex.llm.shared import DIGEST, SPACE, settle, without_rows
 
 COUNTERS = 2000
 
@@ -121,33 +120,6 @@ def exact_duplicates(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 def drop_exact_duplicates(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    found = settle(exact_duplicates(docs, counters))
+    found = settle(exact_duplicates(docs, counters)).withColumnRenamed("text_sha256", DIGEST)
     same = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    gone = found.where(~same)
-    tagged = docs.withColumn("_digest", text_digest())
-    stays = anti_join_rows(tagged, gone.select("doc_id", F.col("text_sha256").alias("_digest")))
-    repeated = found.where(same & ~F.col("kept")).select("doc_id", F.col("text_sha256").alias("_digest")).distinct()
-    if repeated.isEmpty():
-        return stays.drop("_digest")
-    # rows that repeat an id and a text are the only ones that move with their text
-    keys = ["doc_id", "_digest"]
-    once = semi_join_rows(stays, repeated).dropDuplicates(keys)
-    return anti_join_rows(stays, repeated).unionByName(once).drop("_digest")
-
-
-def _on_rows(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    """Join on ``doc_id`` and ``_digest`` with nulls equal; ``keys`` is broadcast only when
-    its measured size allows."""
-    keys = keys.select(F.col("doc_id").alias("_id"), F.col("_digest").alias("_key"))
-    keys = F.broadcast(keys) if fits_broadcast(keys, "_key") else keys
-    return rows.join(keys, (rows["_digest"] == keys["_key"]) & rows["doc_id"].eqNullSafe(keys["_id"]), how)
-
-
-def anti_join_rows(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows whose ``doc_id`` and ``_digest`` are not among ``keys``."""
-    return _on_rows(rows, keys, "left_anti")
-
-
-def semi_join_rows(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows whose ``doc_id`` and ``_digest`` are among ``keys``."""
-    return _on_rows(rows, keys, "left_semi")
+    return without_rows(docs.withColumn(DIGEST, text_digest()), found.where(~same), found.where(same & ~F.col("kept")))

@@ -22,7 +22,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bandlex.llm.shared import SPACE, one_row, settle, words
+from bandlex.llm.shared import DIGEST, SPACE, one_row, row_digest, settle, without_rows, words
 from bandlex.operators.lookup import join_lookup
 
 MIN_WORDS = 50
@@ -343,9 +343,12 @@ def _group_keys(counts: DataFrame, min_rows: int) -> DataFrame:
     return counts.join(pools, "lang", "left").select("own", F.when(~small, F.col("own")).otherwise(pool).alias(GROUP))
 
 
-def quality_verdicts(docs: DataFrame, alpha: float = ALPHA, share: float = SHARE, min_rows: int = MIN_ROWS) -> DataFrame:
+def quality_verdicts(
+    docs: DataFrame, alpha: float = ALPHA, share: float = SHARE, min_rows: int = MIN_ROWS, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    kept, distance``, and ``lang, source``; one row per row of ``docs``.
+    kept, distance``, ``lang, source`` and the columns to ``carry``; one row per row of
+    ``docs``.
 
     A row that fails the base rules is not kept.  Of the others, a row is rejected when
     its squared distance from its group's estimate exceeds the chi-square quantile at
@@ -357,7 +360,7 @@ def quality_verdicts(docs: DataFrame, alpha: float = ALPHA, share: float = SHARE
     ignored, and no rows give no rows.
     """
     lang, source = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("lang", "source"))
-    rows = text_counts(docs.select("doc_id", lang.alias("lang"), source.alias("source"), "text"))
+    rows = text_counts(docs.select("doc_id", lang.alias("lang"), source.alias("source"), "text", *carry))
     rows = rows.withColumns({"own": F.concat_ws("\x1f", "lang", "source"), "base_failed": base_failed()})
     rows = settle(rows.select("*", *statistics()))
     judged = rows.where(~F.col("base_failed"))
@@ -379,4 +382,12 @@ def quality_verdicts(docs: DataFrame, alpha: float = ALPHA, share: float = SHARE
         F.round(F.sqrt(distance), 4).alias("distance"),
         "lang",
         "source",
+        *carry,
     )
+
+
+def drop_rejected(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns."""
+    docs = docs.withColumn(DIGEST, row_digest("text", "lang", "source"))
+    verdicts = settle(quality_verdicts(docs, carry=(DIGEST,), **options))
+    return without_rows(docs, verdicts.where(~F.col("kept")), verdicts.limit(0))

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bandlex.operators.lookup import fits_broadcast
+
 #: White space that separates words, as a regular expression (Java and RE2).
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -47,3 +49,35 @@ def one_row(**columns: Column) -> Column:
     expressions above it, where a lambda would evaluate it once per element.
     """
     return F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items()))))
+
+
+#: The column that, with ``doc_id``, tells rows of documents apart.
+DIGEST = "_digest"
+
+
+def row_digest(*columns: str) -> Column:
+    """SHA-256 of the columns' values, in hexadecimal; nulls count as empty."""
+    values = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns)
+    return F.sha2(F.concat_ws("\x1f", *values).cast("binary"), 256)
+
+
+def _on_rows(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Join on ``doc_id`` and the digest with nulls equal; ``keys`` is broadcast only when
+    its measured size allows."""
+    keys = keys.select(F.col("doc_id").alias("_id"), F.col(DIGEST).alias("_key")).distinct()
+    keys = F.broadcast(keys) if fits_broadcast(keys, "_key") else keys
+    return rows.join(keys, (rows[DIGEST] == keys["_key"]) & rows["doc_id"].eqNullSafe(keys["_id"]), how)
+
+
+def without_rows(rows: DataFrame, gone: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``rows`` without those among ``gone``, and one of each among ``repeated``; both are
+    named by ``doc_id`` and digest.  The digest is dropped.
+
+    Rows move with their text only if their keys are too many to be broadcast, or if they
+    repeat an id and a text.
+    """
+    stays = _on_rows(rows, gone, "left_anti")
+    if not repeated.isEmpty():
+        once = _on_rows(stays, repeated, "left_semi").dropDuplicates(["doc_id", DIGEST])
+        stays = _on_rows(stays, repeated, "left_anti").unionByName(once)
+    return stays.drop(DIGEST)

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bandlex.llm.components import connected_components
-from bandlex.llm.shared import settle
+from bandlex.llm.shared import DIGEST, row_digest, settle, without_rows
 from bandlex.operators.lookup import fits_broadcast
 
 SEED = 42
@@ -77,15 +77,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(value[0])
 
 
-def with_fingerprint(docs: DataFrame) -> DataFrame:
-    """``doc_id, fingerprint`` (long) of every row."""
+def with_fingerprint(docs: DataFrame, carry: Column | None = None) -> DataFrame:
+    """``doc_id, carried, fingerprint`` (long) of every row; ``carry`` is a string."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = pa.array((fingerprint(x.as_py()) for x in batch.column(1)), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), found], ["doc_id", "fingerprint"])
+            found = pa.array((fingerprint(x.as_py()) for x in batch.column(2)), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], ["doc_id", "carried", "fingerprint"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(compute, "doc_id long, fingerprint long")
+    carried = F.lit(None).cast("string") if carry is None else carry
+    rows = docs.select(F.col("doc_id").cast("long"), carried.alias("carried"), "text")
+    return rows.mapInArrow(compute, "doc_id long, carried string, fingerprint long")
 
 
 # trees
@@ -261,6 +263,22 @@ def fingerprint_links(
 # components
 
 
+def _classified(docs: DataFrame, radius: int, blocks: int, carry: Column | None = None) -> DataFrame:
+    """``doc_id, carried, fingerprint, component, least, component_size``: the component as a
+    fingerprint, and its row that is preferred."""
+    prints = settle(with_fingerprint(docs, carry))
+    place = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "carried"))
+    distinct = settle(prints.groupBy("fingerprint").agg(place.alias("first"), F.count("*").alias("n")))
+    labels = connected_components(fingerprint_links(distinct.select("fingerprint"), radius, blocks))
+    labels = labels.withColumnRenamed("node", "fingerprint")
+    placed = settle(
+        distinct.join(labels, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
+    )
+    components = placed.groupBy("component").agg(F.min("first").alias("least"), F.sum("n").alias("component_size"))
+    classes = placed.join(components, "component").select("fingerprint", "component", "least", "component_size")
+    return prints.join(classes, "fingerprint")
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """``doc_id, fingerprint, component_id, component_size`` for every row of ``docs``.
 
@@ -270,15 +288,19 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS)
     Null and empty texts have fingerprint zero and are linked like any other.  Repeated
     rows are in one component; other columns are ignored; no rows give no rows.
     """
-    prints = settle(with_fingerprint(docs))
-    distinct = settle(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")))
-    labels = connected_components(fingerprint_links(distinct.select("fingerprint"), radius, blocks))
-    labels = labels.withColumnRenamed("node", "fingerprint")
-    placed = settle(
-        distinct.join(labels, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
-    )
-    components = placed.groupBy("component").agg(F.min("first_id").alias("component_id"), F.sum("n").alias("component_size"))
-    classes = placed.join(components, "component").select("fingerprint", "component_id", "component_size")
-    return prints.join(classes, "fingerprint").select(
-        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id", "component_size"
+    return _classified(docs, radius, blocks).select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        F.col("least.doc_id").alias("component_id"),
+        "component_size",
     )
+
+
+def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """One row of each component of ``docs``, that of the smallest ``doc_id``, with all its
+    columns."""
+    docs = docs.withColumn(DIGEST, row_digest("text"))
+    rows = settle(_classified(docs, radius, blocks, F.col(DIGEST))).withColumnRenamed("carried", DIGEST)
+    stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col(DIGEST) == F.col("least.carried"))
+    repeated = rows.where(stays).groupBy("doc_id", DIGEST).agg(F.count("*").alias("n")).where("n > 1")
+    return without_rows(docs, rows.where(~stays), repeated)
