@@ -14,5 +14,24 @@ FROM digests JOIN groups USING (text_sha256)
 """
 
 
+OP8 = r"""
+WITH rules(verdict, rule, r_host, r_path) AS (
+  VALUES ('block', 'net/', 'net', '/'), ('allow', 'example.net/en/', 'example.net', '/en/'),
+         ('block', 'example.com/de/', 'example.com', '/de/'), ('allow', 'org/fr/', 'org', '/fr/')
+), after_scheme AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages
+), split AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+  FROM after_scheme
+), fits AS (
+  SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(verdict, length(rule)) AS verdict
+  FROM split JOIN rules ON (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path)
+  GROUP BY page_id
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM split LEFT JOIN fits USING (page_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6}
+    return {"op6_exact_dedup": OP6, "op8_url_rules": OP8}

@@ -14,6 +14,11 @@ from bandlex.llm.packing import pack_documents
 from bandlex.llm.shared import new_path
 from bandlex.llm.simhash import near_duplicates
 from bandlex.llm.token_counts import count_tokens
+from bandlex.llm.url_rules import judge_urls
+
+
+#: Allow and block rules for the URLs of pages.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
 def tokenizer_path(name: str) -> str:
@@ -51,6 +56,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, tokenizer_path("byte_bpe_50k.json"), cache)
 
 
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "verdict string, rule string")
+    return judge_urls(_table(spark, sf_dir, "pages"), rules)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -62,5 +72,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_simhash": op5_simhash,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_token_counts": op7_token_counts,
+        "op8_url_rules": op8_url_rules,
         "op9_packing": op9_packing,
     }
