@@ -15,6 +15,7 @@ from bandlex.llm.shared import new_path
 from bandlex.llm.simhash import near_duplicates
 from bandlex.llm.token_counts import count_tokens
 from bandlex.llm.url_rules import judge_urls
+from bandlex.llm.warc import archived_pages
 
 
 #: Allow and block rules for the URLs of pages.
@@ -36,6 +37,10 @@ def op1_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(_table(spark, sf_dir, "pages"), new_path(spark, "archives")).drop("error")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = with_rates(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), slim=True)
     posteriors = [(F.get("p", k) / SCALE).alias(f"p_{name}") for k, name in enumerate(DOMAINS)]
@@ -68,6 +73,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_outliers": op1_quality_outliers,
+        "op2_warc": op2_warc,
         "op3_mixing": op3_mixing,
         "op5_simhash": op5_simhash,
         "op6_exact_dedup": op6_exact_dedup,
