@@ -14,6 +14,7 @@ from bandlex.llm.packing import pack_documents
 from bandlex.llm.shared import new_path
 from bandlex.llm.simhash import near_duplicates
 from bandlex.llm.token_counts import count_tokens
+from bandlex.llm.toxicity import toxicity
 from bandlex.llm.url_rules import judge_urls
 from bandlex.llm.warc import archived_pages
 
@@ -70,6 +71,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_outliers": op1_quality_outliers,
@@ -80,4 +85,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_token_counts": op7_token_counts,
         "op8_url_rules": op8_url_rules,
         "op9_packing": op9_packing,
+        "op10_toxicity": op10_toxicity,
     }
