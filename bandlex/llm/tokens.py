@@ -15,8 +15,9 @@ import re
 
 import numpy as np
 
-HELD = 300_000  # pieces of a generation
+HELD = 600_000  # pieces of a generation, about 120 MB
 LONGEST = 64  # bytes of a piece that is held
+LINE = 250  # pieces that are encoded as one text
 
 #: A run of plain white space and what follows it.
 BYTE_LEVEL_PIECE = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
@@ -24,6 +25,16 @@ BYTE_LEVEL_PIECE = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
 OTHER_SPACE = re.compile("[^\\S \\t\\r\\n]|[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u206f\\u3000\\ufeff]")
 
 
+def _parts(ids: list[int], of: np.ndarray, n: int) -> list[bytes]:
+    """The ids of each of ``n`` pieces, where ``of`` is the piece of each id, ascending."""
+    ends = (np.cumsum(np.bincount(of, minlength=n)) * 4).tolist()
+    joined, start, parts = np.asarray(ids, "<u4").tobytes(), 0, []
+    for end in ends:
+        parts.append(joined[start:end])
+        start = end
+    return parts
+
+
 class PieceEncoder:
     """Encodes texts with a ``tokenizers`` file, with a cache of pieces.
 
@@ -49,21 +60,18 @@ class PieceEncoder:
         return whole == parts[0] + parts[1] + parts[0]
 
     def _ids(self, pieces: list) -> list[bytes]:
-        """The ids of each piece, from one call of the library."""
-        if self.drops_space:
-            words = [p.decode() for p in pieces]
-            found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-            starts = np.cumsum([0, *(len(w) + 1 for w in words[:-1])])
-            at = np.fromiter((start for start, _ in found.offsets), np.int64, len(found))
-            of = np.searchsorted(starts, at, "right") - 1
-        else:
+        """The ids of each piece."""
+        if not self.drops_space:
             found = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-            of = np.asarray(found.word_ids, np.int64)
-        ends = (np.cumsum(np.bincount(of, minlength=len(pieces))) * 4).tolist()
-        joined, start, parts = np.asarray(found.ids, "<u4").tobytes(), 0, []
-        for end in ends:
-            parts.append(joined[start:end])
-            start = end
+            return _parts(found.ids, np.asarray(found.word_ids, np.int64), len(pieces))
+        # lines of some pieces: the library takes longer over longer ones
+        words = [p.decode() for p in pieces]
+        lines = [words[i : i + LINE] for i in range(0, len(words), LINE)]
+        parts = []
+        for line, found in zip(lines, self.tokenizer.encode_batch([" ".join(x) for x in lines], add_special_tokens=False)):
+            starts = np.cumsum([0, *(len(w) + 1 for w in line[:-1])])
+            at = np.fromiter((start for start, _ in found.offsets), np.int64, len(found))
+            parts += _parts(found.ids, np.searchsorted(starts, at, "right") - 1, len(line))
         return parts
 
     def pieces(self, text: str) -> list:
@@ -77,22 +85,25 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit numbers."""
         split = [self.pieces(text) for text in texts]
-        young = self.young
-        found = [list(map(young.get, pieces)) for pieces in split]
-        missing = {p for pieces, got in zip(split, found) if None in got for p, x in zip(pieces, got) if x is None}
-        if not missing:
-            return [b"".join(got) for got in found]
-        added = {p: self.old[p] for p in missing if p in self.old}
-        new = [p for p in missing if p not in added]
-        if new:
-            added.update(zip(new, self._ids(new)))
-        for at, (pieces, got) in enumerate(zip(split, found)):
-            if None in got:
-                found[at] = [added[p] if x is None else x for p, x in zip(pieces, got)]
-        young.update((p, x) for p, x in added.items() if len(p) <= LONGEST)
-        if len(young) > self.held:
-            self.old, self.young = young, {}
-        return [b"".join(got) for got in found]
+        pieces = [p for of_text in split for p in of_text]
+        ids = list(map(self.young.get, pieces))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        if missing:
+            needed = dict.fromkeys([pieces[i] for i in missing])
+            added = {p: self.old[p] for p in needed if p in self.old}
+            new = [p for p in needed if p not in added]
+            if new:
+                added.update(zip(new, self._ids(new)))
+            for i in missing:
+                ids[i] = added[pieces[i]]
+            self.young.update((p, x) for p, x in added.items() if len(p) <= LONGEST)
+            if len(self.young) > self.held:
+                self.old, self.young = self.young, {}
+        found, at = [], 0
+        for of_text in split:
+            found.append(b"".join(ids[at : at + len(of_text)]))
+            at += len(of_text)
+        return found
 
     def count(self, texts: list[str]) -> list[int]:
         """The number of ids of each text."""
