@@ -11,6 +11,7 @@ from bandlex.llm.exact_dedup import exact_duplicates
 from bandlex.llm.mixing import DOMAINS, SCALE, with_rates
 from bandlex.llm.outliers import quality_verdicts
 from bandlex.llm.packing import pack_documents
+from bandlex.llm.role_repair import repair_roles
 from bandlex.llm.shared import new_path
 from bandlex.llm.simhash import near_duplicates
 from bandlex.llm.token_counts import count_tokens
@@ -48,6 +49,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_tokens", *posteriors, "rate", "copies")
 
 
+def op4_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_roles(_table(spark, sf_dir, "conversations"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -80,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_outliers": op1_quality_outliers,
         "op2_warc": op2_warc,
         "op3_mixing": op3_mixing,
+        "op4_role_repair": op4_role_repair,
         "op5_simhash": op5_simhash,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_token_counts": op7_token_counts,
