@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,19 +13,29 @@ from bandlex.operators.lookup import MAX_BROADCAST_BYTES, fits_broadcast, join_l
 
 LABELS = ("LOW", "MID", "HIGH")
 
-def parse_score_lines(lines: DataFrame, line: str = "value") -> DataFrame:
+
+def score_author(field: Column) -> Column:
+    """The author in the first field of a score line: up to its first space, without the
+    opening quote."""
+    return F.substring(F.substring_index(field, " ", 1), 2, 1 << 30)
+
+
+def parse_score_lines(
+    lines: DataFrame, line: str = "value", author: Callable[[Column], Column] = score_author
+) -> DataFrame:
     """Replace a column of ``"NAME (...)",score,more...`` lines by ``author`` and ``score``.
 
     A line counts when it has at least three fields and a number in the second; others,
-    such as a header, are skipped.  The author is the first field up to its first space,
-    without the opening quote.
+    such as a header, are skipped.  ``author`` reads the author from the first field; for
+    documents with ``key="full_name"`` it has to give ``FIRST-LAST``, as the default does
+    for fields such as ``"ANN-DOE (X YY)"``.
     """
     kept = [name for name in lines.columns if name != line]
     fields = lines.select(*kept, F.split(F.col(line), ",", -1).alias("fields"))
     first, second = (trim(F.get("fields", F.lit(i))) for i in (0, 1))
     name = F.substring_index(first, " ", 1)
     read = fields.where((F.size("fields") > 2) & second.rlike(NUMBER) & (F.length(name) > 0))
-    scores = read.select(*kept, F.substring(name, 2, 1 << 30).alias("author"), second.try_cast("double").alias("score"))
+    scores = read.select(*kept, author(first).alias("author"), second.try_cast("double").alias("score"))
     return scores.where(F.col("score").isNotNull())
 
 
@@ -47,8 +59,8 @@ def score_band(score: Column, lower: float, upper: float, labels: tuple[str, str
 
     A null score, which every comparison would let through to the last band, stays null.
     """
-    if lower > upper:
-        raise ValueError(f"lower cut {lower} is above upper cut {upper}")
+    if not lower <= upper:
+        raise ValueError(f"the lower cut must not be above the upper one, and neither NaN: {lower}, {upper}")
     low, mid, high = labels
     return F.when(score.isNull(), None).when(score < lower, low).when(score < upper, mid).otherwise(high)
 
@@ -57,7 +69,9 @@ def banded_scores(
     scores: DataFrame, cuts: tuple[float, float] | None = None, labels: tuple[str, str, str] = LABELS
 ) -> DataFrame:
     """Append ``band``; without ``cuts`` the line is cut at thirds of the score density,
-    two numbers that are computed when this is called."""
+    two numbers that are computed when this is called.  They are thirds of the finite
+    scores; of the others, minus infinity is in the lowest band, infinity and NaN in the
+    highest."""
     if cuts is None:
         cuts = density_thirds(scores, "score").first()
         if None in cuts:
@@ -102,12 +116,12 @@ def band_sizes(corpus: DataFrame) -> DataFrame:
     return corpus.groupBy("band").agg(F.count("*").alias("n"))
 
 
-def parse_corpus_lines(lines: DataFrame, line: str = "value", on_bad: str = "drop") -> DataFrame:
+def parse_corpus_lines(lines: DataFrame, line: str = "value", on_bad: str = "error") -> DataFrame:
     """Replace a column of ``id <tab> text`` lines by ``doc_id`` and ``text``.
 
-    The first tab splits.  A line without one, or whose id is no whole number, is bad:
-    dropped, kept with a null ``doc_id`` and the raw line as text (``"quarantine"``), or
-    the end of the query (``"error"``).
+    The first tab splits.  A line without one, or whose id is no whole number, is bad: the
+    end of the query, unless ``on_bad`` asks for it to be kept with a null ``doc_id`` and
+    the raw line as text (``"quarantine"``) or to be left out (``"drop"``).
     """
     kept = [name for name in lines.columns if name != line]
     raw = F.col(line)

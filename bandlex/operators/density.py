@@ -10,6 +10,7 @@ the largest a grouped sum of at most 512 bins.  The curve itself has 512 rows.
 from __future__ import annotations
 
 import math
+import sys
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -68,9 +69,11 @@ def _bins(values: DataFrame, grid: _Grid) -> Column:
 def score_density(scores: DataFrame, column: str = "score") -> DataFrame:
     """The curve as rows ``x, density, cdf``, the last one the area up to ``x``.
 
-    The bandwidth and the grid are computed when this is called, the curve is lazy.
+    It is estimated from the finite values alone, whose mass it describes: a null, NaN or
+    infinite one has no place on it.  The bandwidth and the grid are computed when this is
+    called, the curve is lazy.
     """
-    values = scores.select(F.col(column).cast("double").alias("v")).where("v is not null and not isnan(v)")
+    values = scores.select(F.col(column).cast("double").alias("v")).where(f"abs(v) <= {sys.float_info.max!r}D")
     grid = _grid(values)
     if grid is None:
         return scores.sparkSession.createDataFrame([], "x double, density double, cdf double")
@@ -133,7 +136,7 @@ def density_thirds(
     ``lower`` and itself.  Null when none is reached.
 
     Candidates are ``lo, lo + step, ...`` up to ``hi``; without these three, the points
-    of the curve.
+    of the curve.  Thirds are of the finite values.
     """
     candidates = score_density(scores, column)
     if lo is not None and hi is not None and step is not None:

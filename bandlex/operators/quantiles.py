@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
 MARGIN = 0.0005  # more than the error of 1 / ACCURACY on either side
-SMALL = 10_000  # below this many values the bracket is everything
+CELLS = 4096  # that a bracket is cut into
 
 
 class Summary(NamedTuple):
@@ -21,14 +22,68 @@ class Summary(NamedTuple):
     quantiles: tuple[float, ...]
 
 
+class _Bracket(NamedTuple):
+    """Values between which the one at ``rank`` (from 0, in ascending order) lies."""
+
+    rank: int
+    lo: float
+    hi: float
+
+
+def _cell(bracket: _Bracket) -> Column:
+    """The number of a value's cell: -1 below the bracket, null above.
+
+    Cells are of equal width, so the first and the last hold the ends of the bracket.
+    Halves keep the width of a bracket finite.
+    """
+    scale = bracket.hi / 2 - bracket.lo / 2
+    place = (F.col("v") / 2 - bracket.lo / 2) / scale * CELLS if scale > 0 else F.lit(0.0)
+    inside = F.least(F.floor(place).cast("int"), F.lit(CELLS - 1))
+    return F.when(F.col("v") < bracket.lo, -1).when(F.col("v") <= bracket.hi, inside)
+
+
+def _order_statistics(data: DataFrame, brackets: list[_Bracket], least: float, most: float) -> dict[int, float]:
+    """The values at the ranks of the brackets.
+
+    Every step counts the values in each cell of each bracket, which are combined before
+    the shuffle to at most ``CELLS`` rows per bracket, and goes on with the least and
+    greatest value of the cell that holds the rank, until they are one.  A bracket that
+    turns out not to hold its rank is widened to all values.
+    """
+    found: dict[int, float] = {}
+    while brackets:
+        marks = F.array(*(F.struct(F.lit(i).alias("i"), _cell(b).alias("cell")) for i, b in enumerate(brackets)))
+        cells = data.select("v", F.explode(marks).alias("m")).where("m.cell is not null").groupBy("m.i", "m.cell")
+        cells = cells.agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        rows = sorted(cells.collect(), key=lambda r: (r.i, r.cell))
+        narrower = []
+        for i, bracket in enumerate(brackets):
+            so_far, holds = 0, None
+            for r in (r for r in rows if r.i == i):
+                so_far += r.n
+                if so_far > bracket.rank:
+                    holds = r
+                    break
+            if holds is None or holds.cell < 0:
+                narrower.append(_Bracket(bracket.rank, least, most))
+            elif holds.lo == holds.hi:
+                found[bracket.rank] = holds.lo
+            elif (holds.lo, holds.hi) == (bracket.lo, bracket.hi):
+                # neighbours too close for cells: one of the two ends
+                at_lo = data.where(F.col("v") <= bracket.lo).count()
+                found[bracket.rank] = bracket.lo if at_lo > bracket.rank else bracket.hi
+            else:
+                narrower.append(_Bracket(bracket.rank, holds.lo, holds.hi))
+        brackets = narrower
+    return found
+
+
 def summarize(values: DataFrame, column: str, probs: Sequence[float]) -> Summary | None:
     """Size, range, sample deviation and exact quantiles; None without any value.
 
-    Quantiles interpolate linearly between the two nearest order statistics.  Two jobs,
-    of which the driver receives one row and one row per quantile: approximate quantiles
-    on either side bracket each wanted one; then the values below a bracket are counted,
-    and those inside, about a thousandth of the data, are grouped and ranked.  No task
-    sees the whole column.
+    Quantiles interpolate linearly between the two nearest order statistics.  Approximate
+    quantiles on either side bracket each wanted one; brackets are then narrowed by
+    counting in cells, usually once or twice.  No task sorts or ranks the column.
     """
     data = values.select(F.col(column).alias("v"))
 
@@ -45,30 +100,14 @@ def summarize(values: DataFrame, column: str, probs: Sequence[float]) -> Summary
     ).first()
     if not first.n:
         return None
-    lows = [first.least] * len(probs) if first.n < SMALL else first.below
-    highs = [first.most] * len(probs) if first.n < SMALL else first.above
     places = [(first.n - 1) * p for p in probs]
-
-    brackets = F.array(
-        *(
-            F.struct(F.lit(i).alias("i"), F.lit(place).alias("place"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
-            for i, (place, lo, hi) in enumerate(zip(places, lows, highs))
-        )
-    )
-    tagged = data.select("v", F.explode(brackets).alias("b")).where("v <= b.hi")
-    # values below a bracket fall into its one group without a value
-    inside = F.when(F.col("v") >= F.col("b.lo"), F.col("v")).alias("v")
-    groups = tagged.groupBy("b.i", "b.place", inside).agg(F.count("*").alias("n"))
-    by_value = Window.partitionBy("i").orderBy(F.col("v").asc_nulls_first())
-    so_far = F.sum("n").over(by_value.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = groups.withColumn("so_far", so_far).where(F.col("v").isNotNull())
-    ends = ranked.groupBy("i").agg(
-        F.min(F.when(F.col("so_far") > F.floor("place"), F.col("v"))).alias("lower"),
-        F.min(F.when(F.col("so_far") > F.ceil("place"), F.col("v"))).alias("upper"),
-    )
-    found = {row.i: row for row in ends.collect()}  # one row per quantile
+    brackets = {}
+    for place, lo, hi in zip(places, first.below, first.above):
+        for rank in (math.floor(place), math.ceil(place)):
+            brackets[rank] = _Bracket(rank, lo, hi)
+    found = _order_statistics(data, list(brackets.values()), first.least, first.most)
     quantiles = []
-    for i, place in enumerate(places):
-        lower, upper = found[i].lower, found[i].upper
-        quantiles.append(lower + (place - int(place)) * (upper - lower))
+    for place in places:
+        lower, upper = found[math.floor(place)], found[math.ceil(place)]
+        quantiles.append(lower + (place - math.floor(place)) * (upper - lower))
     return Summary(first.n, first.least, first.most, first.sd or 0.0, tuple(quantiles))

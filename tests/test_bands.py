@@ -50,8 +50,9 @@ def test_band_edges(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, score double")
     rows = df.select("i", score_band(F.col("score"), -0.65, 0.61).alias("band")).orderBy("i").collect()
     assert [r.band for r in rows] == ["LOW", "MID", "MID", "HIGH", "HIGH", None]
-    with pytest.raises(ValueError):
-        score_band(F.col("score"), 0.61, -0.65)
+    for lower, upper in ((0.61, -0.65), (float("nan"), 1.0), (0.0, float("nan"))):
+        with pytest.raises(ValueError):
+            score_band(F.col("score"), lower, upper)
 
 
 @pytest.fixture
@@ -99,3 +100,12 @@ def test_shuffled_join_gives_the_same(spark, docs, scores, on_missing):
 def test_cuts_from_density(scores):
     bands = {r.author: r.band for r in banded_scores(scores).collect()}
     assert bands["A0"] == "LOW" and bands["HOT"] == "MID" and bands["A190"] == "HIGH"
+
+
+def test_scores_that_are_not_finite(spark, scores):
+    cuts = {r.author: r.band for r in banded_scores(scores).collect()}
+    odd = [("MOST", float("inf")), ("LEAST", float("-inf")), ("NAN", float("nan")), ("NONE", None)]
+    more = scores.unionByName(spark.createDataFrame(odd, "author string, score double"))
+    found = {r.author: r.band for r in banded_scores(more).collect()}
+    expected = {"MOST": "HIGH", "LEAST": "LOW", "NAN": "HIGH", "NONE": None}
+    assert found == cuts | expected

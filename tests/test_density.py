@@ -4,7 +4,9 @@ import numpy as np
 import pytest
 
 from bandlex.operators.density import density_thirds, score_density
+from bandlex.operators import quantiles
 from bandlex.operators.quantiles import summarize
+from pyspark.sql import functions as F
 
 
 def direct(values):
@@ -61,8 +63,11 @@ def test_degenerate_columns(spark):
     assert score_density(scores(spark, [])).count() == 0
     assert tuple(density_thirds(scores(spark, [])).first()) == (None, None)
     assert abs(max(r.cdf for r in score_density(scores(spark, [2.0] * 5)).collect()) - 1) < 1e-2
-    mixed = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (2.0,), (4.0,)], "score double")
-    assert score_density(mixed).count() == 512
+    finite = [1.0, 2.0, 4.0]
+    mixed = [*finite, float("nan"), float("inf"), float("-inf"), float("inf")]
+    assert score_density(scores(spark, mixed)).collect() == score_density(scores(spark, finite)).collect()
+    assert density_thirds(scores(spark, mixed)).first() == density_thirds(scores(spark, finite)).first()
+    assert score_density(scores(spark, [float("inf")])).count() == 0
 
 
 @pytest.mark.parametrize("shape", ["even", "few values", "heavy tail", "one hot value"])
@@ -79,3 +84,23 @@ def test_exact_quantiles_of_a_large_column(spark, shape):
     found = summarize(scores(spark, values), "score", probs)
     assert np.allclose(found.quantiles, np.percentile(values, [100 * p for p in probs]), rtol=1e-12)
     assert found.n == 30_000 and np.isclose(found.sd, np.std(values, ddof=1))
+
+
+def test_brackets_that_miss_are_widened(spark, monkeypatch):
+    values = [float(i % 1000) ** 3 for i in range(20_000)] + [-1e300, 1e300]
+    monkeypatch.setattr(quantiles, "MARGIN", -0.3)  # brackets that begin above and end below
+    probs = (0.0, 0.1, 0.5, 0.9, 1.0)
+    found = summarize(scores(spark, values), "score", probs)
+    assert np.allclose(found.quantiles, np.percentile(values, [100 * p for p in probs]), rtol=1e-12)
+
+
+def test_cells_never_rank_rows(spark):
+    """A million distinct values: what is shuffled are counts of cells."""
+    column = spark.range(1_000_000, numPartitions=8).selectExpr("CAST(id AS DOUBLE) * 1.5 AS score")
+    found = summarize(column, "score", (0.25, 0.75))
+    assert found.quantiles == (249_999.75 * 1.5, 749_999.25 * 1.5)
+    data = column.select(F.col("score").alias("v"))
+    bracket = quantiles._Bracket(5, 0.0, 1e6)
+    cells = data.groupBy(quantiles._cell(bracket).alias("cell")).count()
+    assert "Window" not in cells._jdf.queryExecution().executedPlan().toString()
+    assert cells.count() <= quantiles.CELLS + 2
