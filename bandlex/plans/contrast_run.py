@@ -37,13 +37,16 @@ def run(
     n_docs: Column | int | None = None,
     labels: tuple[str, str, str] = LABELS,
     on_missing: str = "error",
+    **switches,
 ) -> DataFrame:
     """``band, term, df, idf, forms, rk`` of the terms in one band's top ``k`` only.
 
-    ``docs`` has ``doc_id, author, text``; ``scores`` has ``author, score``.
+    ``docs`` has ``doc_id, author, text``; ``scores`` has ``author, score``.  Further
+    arguments are those of `idf_by_band`: ``variant``, ``forms``, ``drop_last_term``,
+    ``colocated`` and ``normalize``.
     """
     corpus = build_corpus(docs, scores, cuts, labels, on_missing)
     if n_docs is None:
         # without the join when it keeps every document
         n_docs = count_documents(docs if on_missing == "error" else corpus)
-    return distinctive_terms(topk_terms(idf_by_band(corpus, n_docs, stopwords), k))
+    return distinctive_terms(topk_terms(idf_by_band(corpus, n_docs, stopwords, **switches), k))

@@ -2,24 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 
 
 def settle(table: DataFrame) -> DataFrame:
-    """The table read back from a checkpoint in the session's shared folder, which
-    survives the loss of executors.
+    """The table, computed once.
 
-    The folder is the one named by ``spark.checkpoint.dir``.  Where none is named, a
-    local session gets a temporary one; on a cluster the table is returned as it is.
+    Where the session names a shared folder in ``spark.checkpoint.dir``, it is read back
+    from a checkpoint there, which survives the loss of executors.  Elsewhere it is
+    persisted by Spark and keeps its lineage, so what is lost is computed again.
     """
     context = table.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = table.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="bandlex-")
-        if folder is None:
-            return table
+    folder = table.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None and folder is not None:
         context.setCheckpointDir(folder)
-    return table.checkpoint()
+    return table.persist() if context.getCheckpointDir() is None else table.checkpoint()

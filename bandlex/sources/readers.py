@@ -2,48 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bandlex.functions.text import author_from_file_name, normalize_text
-from bandlex.operators.bands import parse_corpus_lines, parse_score_lines, score_last_wins
-
-ID_SLICES = 1024
+from bandlex.operators.bands import parse_corpus_lines, parse_score_lines, score_author, score_last_wins
+from bandlex.operators.lookup import join_lookup
+from bandlex.plans.settle import settle
 
 
-def read_table(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
-    """A Parquet table; with ``spread_by``, a scan of fewer splits than there are cores
-    (one small file, say) is spread over them.  Large tables are read as they are."""
-    table = spark.read.parquet(path)
-    if spread_by and table.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
-        table = table.repartition(spread_by)
-    return table
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table."""
+    return spark.read.parquet(path)
 
 
 def dense_ids(rows: DataFrame, key: str) -> DataFrame:
-    """Append ``doc_id`` 0, 1, 2, ... per distinct ``key``, the same on every run.
+    """Prepend ``doc_id`` 0, 1, 2, ... in order of ``key``, which must be unique.
 
-    Keys are numbered within hash slices; the slice totals, at most 1,024 rows, give
-    each slice its offset.  A single ranking of all rows would be one task.
+    Only keys are moved: range partitions of them are sorted and counted, and a key's
+    number is its place in its partition after the keys of the partitions before.  The
+    offsets are one row per partition.  ``rows`` gets its numbers by a join with the keys.
     """
-    sliced = rows.withColumn("id_slice", F.pmod(F.xxhash64(key), F.lit(ID_SLICES)))
-    totals = sliced.groupBy("id_slice").agg(F.count("*").alias("rows"))
-    before = Window.orderBy("id_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("id_slice", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
-    nth = F.row_number().over(Window.partitionBy("id_slice").orderBy(key))
-    numbered = sliced.withColumn("nth", nth).join(F.broadcast(offsets), "id_slice")
-    return numbered.withColumn("doc_id", F.col("offset") + F.col("nth") - 1).select("doc_id", *rows.columns)
+    in_order = rows.select(key).repartitionByRange(key).sortWithinPartitions(key)
+    # the lower bits of the generated number count rows within a partition, the upper ones partitions
+    placed = settle(in_order.withColumn("place", F.monotonically_increasing_id()))
+    part, nth = F.shiftright("place", 33), F.col("place").bitwiseAND((1 << 33) - 1)
+    sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    numbered = placed.withColumn("part", part).join(F.broadcast(offsets), "part")
+    ids = settle(numbered.select(key, (F.col("offset") + nth).alias("doc_id")))
+    return join_lookup(rows, ids, key, "inner").select("doc_id", *rows.columns)
 
 
 def read_documents(spark: SparkSession, directory: str, key: str = "last_name") -> DataFrame:
     """One document per file of a directory: ``doc_id, file_name, author, text``.
 
-    The author comes from the file name, ``First-Last_rest``; the text is normalised to
-    one line.  Sub-directories are not read.
+    Files are numbered in order of their whole path.  The author comes from the file name,
+    ``First-Last_rest``; the text is normalised to one line.  Sub-directories are not read.
     """
-    files = spark.read.text(directory, wholetext=True).select(F.col("_metadata.file_name").alias("file_name"), "value")
-    docs = dense_ids(files, "file_name")
-    return docs.select(
+    path, name = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name")
+    # the list of files, without what is in them
+    ids = dense_ids(spark.read.format("binaryFile").load(directory).select(path), "path")
+    files = spark.read.text(directory, wholetext=True).select(path, name, "value")
+    return join_lookup(files, ids, "path", "inner").select(
         "doc_id",
         "file_name",
         author_from_file_name(F.col("file_name"), key).alias("author"),
@@ -51,10 +55,16 @@ def read_documents(spark: SparkSession, directory: str, key: str = "last_name")
     )
 
 
-def read_scores(spark: SparkSession, path: str, unique_scores: str = "allow") -> DataFrame:
-    """``author, score`` from a score file; the last line of an author counts."""
+def read_scores(
+    spark: SparkSession,
+    path: str,
+    unique_scores: str = "allow",
+    author: Callable[[Column], Column] = score_author,
+) -> DataFrame:
+    """``author, score`` from a score file; the last line of an author counts.  ``author``
+    reads the author from a line's first field."""
     lines = spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id())
-    return score_last_wins(parse_score_lines(lines), "line_no", unique_scores)
+    return score_last_wins(parse_score_lines(lines, author=author), "line_no", unique_scores)
 
 
 def read_score_column(spark: SparkSession, path: str, column: str = "Mean") -> DataFrame:
@@ -67,7 +77,7 @@ def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.lower("value").alias("token")).where("token <> ''")
 
 
-def read_corpus(spark: SparkSession, path: str, on_bad: str = "drop") -> DataFrame:
+def read_corpus(spark: SparkSession, path: str, on_bad: str = "error") -> DataFrame:
     """``doc_id, band, text`` from a corpus written as text, one directory per band."""
     lines = spark.read.text(path)
     return parse_corpus_lines(lines, "value", on_bad).select("doc_id", "band", "text")

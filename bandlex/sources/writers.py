@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bandlex.functions.text import normalize_text
 from bandlex.operators.contrast import render_line, report_order
 
 
 def write_corpus(corpus: DataFrame, path: str) -> None:
-    """Lines ``doc_id <tab> text``, one directory per band.  The text must be normalised:
-    a line break in it would end the line."""
-    line = F.concat_ws("\t", F.col("doc_id").cast("string"), "text").alias("value")
+    """Lines ``doc_id <tab> text``, one directory per band that has documents.  A text with
+    line breaks, which would end its line, is normalised to one; a null text is empty."""
+    text = F.when(F.col("text").rlike(r"[\r\n]"), normalize_text(F.col("text"))).otherwise(F.coalesce("text", F.lit("")))
+    line = F.concat_ws("\t", F.col("doc_id").cast("string"), text).alias("value")
     corpus.select("band", line).write.mode("overwrite").partitionBy("band").text(path)
 
 

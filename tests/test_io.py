@@ -1,8 +1,9 @@
 import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from bandlex import build_corpus, run
-from bandlex.operators.contrast import distinctive_terms, topk_terms
+from bandlex.operators.contrast import distinctive_terms, idf_report, topk_terms
 from bandlex.operators.index import document_frequency, idf_by_band
 from bandlex.sources import readers, writers
 
@@ -36,6 +37,54 @@ def test_documents(spark, speeches):
     assert {r.author for r in again} == {"ANN-LOW", "BO-MID", "CY-HIGH"}
 
 
+def test_ids_move_no_text(spark, speeches):
+    plan = readers.read_documents(spark, speeches)._jdf.queryExecution().executedPlan().toString()
+    for line in plan.splitlines():
+        assert "Exchange" not in line or "value" not in line
+    assert "Sort" not in plan.split("InMemoryRelation")[0] or "value" not in plan.split("Sort")[0]
+    rows = readers.read_documents(spark, speeches).collect()
+    assert [r.file_name for r in sorted(rows, key=lambda r: r.doc_id)] == sorted(r.file_name for r in rows)
+
+
+def test_corpus_files_lose_no_text(spark, tmp_path):
+    rows = [(1, "A", "alpha\tbeta\n\ngamma\r\n7\tepsilon "), (2, "A", None), (3, "B", "plain")]
+    corpus = spark.createDataFrame(rows, "doc_id bigint, band string, text string")
+    writers.write_corpus(corpus, str(tmp_path / "c"))
+    found = readers.read_corpus(spark, str(tmp_path / "c")).collect()
+    assert {r.doc_id: r.text for r in found} == {1: "alpha beta  gamma 7 epsilon", 2: "", 3: "plain"}
+    (tmp_path / "c" / "band=A" / "part-extra.txt").write_text("no tab\n")
+    with pytest.raises(SparkRuntimeException, match="bad corpus line"):
+        readers.read_corpus(spark, str(tmp_path / "c")).collect()
+
+
+def test_full_names(spark, speeches, tmp_path):
+    (tmp_path / "s.csv").write_text('"ANN-LOW (X YY)",-1.0,0\n"BO-MID (X YY)",0.0,0\n"CY-HIGH (X YY)",1.0,0\n')
+    docs = readers.read_documents(spark, speeches, key="full_name")
+    corpus = build_corpus(docs, readers.read_scores(spark, str(tmp_path / "s.csv")), (-0.5, 0.5))
+    assert {(r.author, r.band) for r in corpus.collect()} == {("ANN-LOW", "LOW"), ("BO-MID", "MID"), ("CY-HIGH", "HIGH")}
+    (tmp_path / "t.csv").write_text("Low; Ann,-1.0,0\nMid; Bo,0.0,0\nHigh; Cy,1.0,0\n")
+    other = readers.read_scores(
+        spark,
+        str(tmp_path / "t.csv"),
+        author=lambda field: F.upper(F.concat_ws("-", F.element_at(F.split(field, "; "), 2), F.element_at(F.split(field, "; "), 1))),
+    )
+    assert build_corpus(docs, other, (-0.5, 0.5)).count() == 12
+
+
+def test_switches_through_the_whole_way(spark, speeches, score_file):
+    docs, scores = readers.read_documents(spark, speeches), readers.read_scores(spark, score_file)
+
+    def found(**switches):
+        return {r.term: r for r in run(docs, scores, ["the", "a'r-e"], (-0.65, 0.61), **switches).collect()}
+
+    plain = found()
+    assert "appl" in plain and found(variant="bm25")["appl"].idf != plain["appl"].idf
+    assert found(forms="skip_first_doc")["appl"].forms == ["apples"]
+    assert found(colocated=True).keys() == plain.keys()
+    assert found(normalize=True).keys() == plain.keys()
+    assert "appl" in found(drop_last_term=True)
+
+
 def test_dense_ids_of_many_keys(spark):
     rows = spark.range(5000).select(F.concat(F.lit("file"), "id").alias("k"))
     assert sorted(r.doc_id for r in readers.dense_ids(rows, "k").collect()) == list(range(5000))
@@ -68,13 +117,17 @@ def test_from_files_to_report(spark, speeches, score_file, tmp_path):
     columns = ["band", "term", "idf", "forms"]
     assert sorted(back.select(columns).collect()) == sorted(table.select(columns).collect())
     writers.write_idf_report(table, out["sorted"])
-    one_band = [r.idf for r in readers.read_idf(spark, out["sorted"]).where("band = 'LEFT'").collect()]
-    assert len(one_band) == table.where("band = 'LEFT'").count()
+    for label in labels:
+        files = sorted((tmp_path / "sorted" / f"band={label}").glob("part-*"))
+        terms = [line.split("\t")[1] for file in files for line in file.read_text().splitlines()]
+        assert terms == [r.term for r in idf_report(table.where(F.col("band") == label)).collect()]
 
     kept = distinctive_terms(topk_terms(back))
     assert {(r.band, r.term) for r in kept.collect()} == {("LEFT", "appl"), ("CENTER", "bridg"), ("RIGHT", "candl")}
     writers.write_report(kept, out["report"])
     assert sorted(readers.read_report(spark, out["report"]).collect()) == sorted(kept.select("band", "idf", "term", "forms").collect())
+    lines = [line for file in sorted((tmp_path / "report").glob("part-*")) for line in file.read_text().splitlines()]
+    assert [line.split("\t")[2] for line in lines] == ["appl", "bridg", "candl"]
     whole = run(docs, scores, ["the", "are"], (-0.65, 0.61), labels=labels).select("band", "idf", "term", "forms")
     assert sorted(whole.collect()) == sorted(kept.select("band", "idf", "term", "forms").collect())
 
