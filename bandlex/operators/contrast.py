@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 64
-
 
 def render_line(table: DataFrame, digits: int | None = None) -> Column:
     """``idf <tab> term <tab> forms`` with the forms joined by spaces."""
@@ -33,7 +31,8 @@ def topk_terms(table: DataFrame, k: int = 200) -> DataFrame:
     """
     threshold = int(table.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     if k > threshold:
-        sliced = table.withColumn("slice", F.pmod(F.xxhash64("term"), F.lit(SLICES)))
+        slices = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        sliced = table.withColumn("slice", F.pmod(F.xxhash64("term"), F.lit(slices)))
         in_slice = Window.partitionBy("band", "slice").orderBy(*report_order())
         table = sliced.withColumn("rk", F.row_number().over(in_slice)).where(F.col("rk") <= k).drop("slice", "rk")
     in_band = Window.partitionBy("band").orderBy(*report_order())

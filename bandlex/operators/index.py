@@ -13,14 +13,17 @@ from pyspark.sql import functions as F
 
 from bandlex.functions.text import idf
 from bandlex.operators.tokens import Stopwords, document_words, remove_stopwords, stem_tokens
+from bandlex.plans.settle import settle
 
 
 def doc_term_forms(
-    docs: DataFrame, by: Sequence[str] = (), stopwords: Stopwords = None
+    docs: DataFrame, by: Sequence[str] = (), stopwords: Stopwords = None, normalize: bool = False
 ) -> DataFrame:
-    """Distinct ``(doc_id, term, token)`` with ``pos``, the order within the document."""
+    """Distinct ``(doc_id, term, token)`` with ``pos``, the order within the document.
+
+    ``normalize`` cleans the stop words as words are cleaned, here and below."""
     words = document_words(docs.select("doc_id", *by, "text"))
-    return stem_tokens(remove_stopwords(words, stopwords))
+    return stem_tokens(remove_stopwords(words, stopwords, normalize))
 
 
 def _colocate(docs: DataFrame, by: Sequence[str], colocated: bool) -> DataFrame:
@@ -35,25 +38,31 @@ def _colocate(docs: DataFrame, by: Sequence[str], colocated: bool) -> DataFrame:
 
 
 def _counted_words(
-    docs: DataFrame, by: Sequence[str], stopwords: Stopwords, colocated: bool
+    docs: DataFrame, by: Sequence[str], stopwords: Stopwords, colocated: bool, normalize: bool
 ) -> DataFrame:
     """Words with ``counts``: 1 for the first form of a term within a document, else 0,
     so that a sum over any number of forms counts documents."""
-    words = doc_term_forms(_colocate(docs, by, colocated), by, stopwords)
+    words = doc_term_forms(_colocate(docs, by, colocated), by, stopwords, normalize)
     in_document = Window.partitionBy("doc_id", *by, "term").orderBy("pos")
     return words.withColumn("counts", F.when(F.row_number().over(in_document) == 1, 1).otherwise(0))
 
 
 def document_frequency(
-    docs: DataFrame, by: Sequence[str] = (), stopwords: Stopwords = None, colocated: bool = False
+    docs: DataFrame,
+    by: Sequence[str] = (),
+    stopwords: Stopwords = None,
+    colocated: bool = False,
+    normalize: bool = False,
 ) -> DataFrame:
     """``df``: number of documents that hold a term.
 
     ``colocated=True`` says that ``docs`` is partitioned by ``doc_id`` already, for
     example a table bucketed by it, and saves the shuffle of the text.
     """
-    words = _counted_words(docs, by, stopwords, colocated)
-    return words.groupBy(*by, "term").agg(F.sum("counts").alias("df"))
+    words = doc_term_forms(_colocate(docs, by, colocated), by, stopwords, normalize)
+    # a document's words are in one partition: distinct needs neither exchange nor sort
+    terms = words.select("doc_id", *by, "term").distinct()
+    return terms.groupBy(*by, "term").agg(F.count("*").alias("df"))
 
 
 def _ordered_forms(occurrences: DataFrame, by: Sequence[str], *more: Column) -> DataFrame:
@@ -72,27 +81,35 @@ def _first_occurrence() -> list[Column]:
 
 
 def term_statistics(
-    docs: DataFrame, by: Sequence[str] = (), stopwords: Stopwords = None, colocated: bool = False
+    docs: DataFrame,
+    by: Sequence[str] = (),
+    stopwords: Stopwords = None,
+    colocated: bool = False,
+    normalize: bool = False,
 ) -> DataFrame:
     """``df`` and ``forms`` per term in one pass over the text.
 
     Sums are combined before each shuffle; what is shuffled beyond the text is the
     vocabulary, not the occurrences.
     """
-    words = _counted_words(docs, by, stopwords, colocated)
+    words = _counted_words(docs, by, stopwords, colocated, normalize)
     per_form = words.groupBy(*by, "term", "token").agg(F.sum("counts").alias("df"), *_first_occurrence())
     return _ordered_forms(per_form, by, F.sum("df").alias("df"))
 
 
 def term_forms(
-    docs: DataFrame, by: Sequence[str] = (), stopwords: Stopwords = None, forms: str = "all"
+    docs: DataFrame,
+    by: Sequence[str] = (),
+    stopwords: Stopwords = None,
+    forms: str = "all",
+    normalize: bool = False,
 ) -> DataFrame:
     """Distinct surface forms per term, ordered by document and place in it.
 
     ``forms="skip_first_doc"`` leaves out what the first document of a term holds, so
     that a term of one document has none.
     """
-    words = remove_stopwords(document_words(docs.select("doc_id", *by, "text")), stopwords)
+    words = remove_stopwords(document_words(docs.select("doc_id", *by, "text")), stopwords, normalize)
     if forms == "all":
         # grouped by the word itself, so that each distinct word is stemmed once
         return _ordered_forms(stem_tokens(words.groupBy(*by, "token").agg(*_first_occurrence())), by)
@@ -133,17 +150,23 @@ def idf_by_band(
     forms: str = "all",
     drop_last_term: bool = False,
     colocated: bool = False,
+    normalize: bool = False,
 ) -> DataFrame:
     """``by..., term, df, idf, forms``.
 
     ``df`` is counted within the band but ``n_docs`` is the size of the whole collection,
     by default all of ``corpus``.  ``forms="skip_first_doc"`` and ``drop_last_term=True``
     (leave out the greatest term of each band) reproduce known gaps of earlier results.
+    With either, too, the text is read and shuffled once: forms and frequencies share its
+    exchange, and the greatest term is looked up in the table of terms, which is settled
+    when this is called.
     """
-    table = term_statistics(corpus, by, stopwords, colocated)
+    docs = _colocate(corpus, by, colocated)
+    table = term_statistics(docs, by, stopwords, True, normalize)
     if forms != "all":
-        table = table.drop("forms").join(term_forms(corpus, by, stopwords, forms), [*by, "term"])
+        table = table.drop("forms").join(term_forms(docs, by, stopwords, forms, normalize), [*by, "term"])
     if drop_last_term:
+        table = settle(table)
         last = table.groupBy(*by).agg(F.max("term").alias("term"))
         table = table.join(last, [*by, "term"], "left_anti")
     table = with_idf(table, count_documents(corpus) if n_docs is None else n_docs, variant)

@@ -64,7 +64,7 @@ def stem_tokens(tokens: DataFrame) -> DataFrame:
     return add_stem(tokens, "token", "term")
 
 
-def stem_vocabulary(docs: DataFrame, stopwords: Stopwords = None) -> DataFrame:
+def stem_vocabulary(docs: DataFrame, stopwords: Stopwords = None, normalize: bool = False) -> DataFrame:
     """Every distinct word of the collection with its stem; each is stemmed once."""
-    words = remove_stopwords(document_words(docs), stopwords)
+    words = remove_stopwords(document_words(docs), stopwords, normalize)
     return stem_tokens(words.select("token").distinct())

@@ -1,6 +1,6 @@
 """Wall time of every registered query; prints one JSON line.
 
-Each query is planned and run ``BENCH_RUNS`` times (2 by default) with its whole result
+Each query is planned and run ``BENCH_RUNS`` times (3 by default) with its whole result
 produced and discarded; the best run counts, so that the JVM's compilation of new code,
 which a long job does not notice, weighs less.  ``first`` holds the time of the first run.
 """
@@ -12,13 +12,13 @@ import os
 import time
 
 from bandlex.session import session
-from checks.queries import queries
+from checks import queries as registered
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     wanted = os.environ.get("BENCH_QUERIES", "").split()
     spark = session(
         f"local[{cpus}]",
@@ -30,8 +30,9 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
+    registered.SPREAD = spark.sparkContext.defaultParallelism
     first, best = {}, {}
-    for name, query in queries().items():
+    for name, query in registered.queries().items():
         if wanted and name not in wanted:
             continue
         times = []

@@ -1,11 +1,12 @@
 """A letter-by-letter stemmer after the published definition, to check the Spark one."""
 
-PAIRS_1 = (
-    "ational:ate tional:tion enci:ence anci:ance izer:ize bli:ble alli:al entli:ent eli:e ousli:ous ization:ize "
-    "ation:ate ator:ate alism:al iveness:ive fulness:ful ousness:ous aliti:al iviti:ive biliti:ble logi:log"
-)
-PAIRS_2 = "icate:ic ative: alize:al iciti:ic ical:ic ful: ness:"
-GONE = "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize"
+from bandlex.functions.stem import LONG_SUFFIXES, SHORT_SUFFIXES
+
+# The suffixes that the published algorithm's fourth step removes.
+GONE = (
+    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou", "ism", "ate",
+    "iti", "ous", "ive", "ize",
+)
 
 
 def is_consonant(word, i):
@@ -56,12 +57,11 @@ def stem(word):
             word += "e"
     if word.endswith("y") and "v" in shape(word[:-1]):
         word = word[:-1] + "i"
-    for pairs in (PAIRS_1, PAIRS_2):
-        rules = dict(pair.split(":") for pair in pairs.split())
+    for rules in (LONG_SUFFIXES, SHORT_SUFFIXES):
         ending = longest(word, rules)
         if ending and measure(word[: -len(ending)]) > 0:
             word = word[: -len(ending)] + rules[ending]
-    ending = longest(word, GONE.split())
+    ending = longest(word, GONE)
     if ending:
         rest = word[: -len(ending)]
         if measure(rest) > 1 and (ending != "ion" or rest.endswith(("s", "t"))):

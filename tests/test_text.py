@@ -49,11 +49,11 @@ def words(spark, text, stop=("the", "a", "is", "in")):
 
 
 def test_sentences(spark):
-    assert words(spark, "The cat in the hat is a good book.") == [
-        ("cat", "cat"), ("hat", "hat"), ("good", "good"), ("book", "book"),
+    assert words(spark, "Rain fell in a garden; the gate is open.") == [
+        ("rain", "rain"), ("fell", "fell"), ("garden", "garden"), ("gate", "gate"), ("open", "open"),
     ]
-    assert words(spark, "The cat in the hat??||    is. a good booking...") == [
-        ("cat", "cat"), ("hat", "hat"), ("good", "good"), ("booking", "book"),
+    assert words(spark, "Who is it!?--//  a. bird, calling ...") == [
+        ("who", "who"), ("bird", "bird"), ("calling", "call"),
     ]
 
 
@@ -91,9 +91,9 @@ def test_stopwords_as_list_and_table(spark):
 
 def test_corpus_lines(spark):
     lines = spark.createDataFrame([("7\tone\ttwo ",), ("no tab",), ("x1\ttext",), ("+8\tb",), (" 9\tc",)], "value string")
-    good = {(r.doc_id, r.text) for r in parse_corpus_lines(lines).collect()}
+    good = {(r.doc_id, r.text) for r in parse_corpus_lines(lines, on_bad="drop").collect()}
     assert good == {(7, "one\ttwo"), (8, "b")}
     kept = {(r.doc_id, r.text) for r in parse_corpus_lines(lines, on_bad="quarantine").collect()}
     assert kept == good | {(None, "no tab"), (None, "x1\ttext"), (None, " 9\tc")}
     with pytest.raises(SparkRuntimeException, match="bad corpus line"):
-        parse_corpus_lines(lines, on_bad="error").collect()
+        parse_corpus_lines(lines).collect()
