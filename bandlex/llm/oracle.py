@@ -2,6 +2,19 @@
 
 from __future__ import annotations
 
+OP2 = r"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, unhex(sha1(coalesce(html, '')))::BIT::VARCHAR AS bits FROM pages
+), firsts AS (SELECT payload, min(page_id) AS first_id FROM payloads GROUP BY payload)
+SELECT page_id, strlen(payload) AS payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(
+    list_transform(range(5), lambda j: substr(bits, 5 * i + j + 1, 1)::INTEGER * (16 >> j::INTEGER)))::INTEGER, 1)),
+    'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM payloads JOIN firsts USING (payload)
+"""
+
 OP6 = r"""
 WITH digests AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -34,4 +47,4 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM spl
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6, "op8_url_rules": OP8}
+    return {"op2_warc": OP2, "op6_exact_dedup": OP6, "op8_url_rules": OP8}

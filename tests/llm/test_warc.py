@@ -8,6 +8,7 @@ import pytest
 import zstandard
 
 from bandlex.llm import warc
+from bandlex.llm.oracle import oracle_sql
 from bandlex.llm.queries import op2_warc
 from bandlex.llm.shared import new_path
 
@@ -26,9 +27,14 @@ def brute(pages, min_payload=0):
         yield p.page_id, len(data), digest, "revisit" if revisit else "response", other if revisit else None
 
 
-def test_query(spark, sf):
+def test_query(spark, sf, sql):
     pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
-    assert sorted(map(str, map(tuple, op2_warc(spark, sf).collect()))) == sorted(map(str, brute(pages)))
+    found = op2_warc(spark, sf).persist()
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, brute(pages)))
+    expected = sql.execute(oracle_sql()["op2_warc"]).fetchall()
+    columns = [d[0] for d in sql.description]
+    assert sorted(found.columns) == sorted(columns)
+    assert sorted(map(str, map(tuple, found.select(columns).collect()))) == sorted(map(str, expected))
 
 
 @pytest.fixture
