@@ -161,20 +161,20 @@ class _Packer:
 
 def plan_runs(counts: dict[tuple[bool, int], int], window: int = WINDOW, tiers: tuple[int, ...] = TIERS) -> tuple[list[Run], int]:
     """The runs for a histogram of ``(filler, length)``, and the number of sequences."""
+    if window & (window - 1):
+        raise ValueError(f"the window must be a power of two, not {window}")
     packer = _Packer(counts, window)
     tiers = tuple(t for t in sorted(tiers, reverse=True) if t <= window)
     for tier, shorter in zip(tiers, (*tiers[1:], 0)):
         packer.pack(tier, range(tier, shorter, -1), also_open=tier == window)
     packer.pack(window, range(window, 0, -1), also_open=True)
-    # filler alone: long windows, of which powers of two leave no gap, then as it is
+    # filler alone: powers of two, taken from the longest on, fill windows of these sizes exactly
     total = int((packer.left[True] * np.arange(window + 1)).sum())
-    for k, room, content in packer.fill(total // window, window, []) if total >= window else []:
-        packer.commit(k, content, window)
-    for length in range(window, 0, -1):
-        n = int(packer.left[True][length])
-        if n:
-            packer.left[True][length] = 0
-            packer.commit(n, [(True, length)], length)
+    for size in (window >> b for b in range(window.bit_length())):
+        if total >= size:
+            for k, _, content in packer.fill(total // size, size, []):
+                packer.commit(k, content, size)
+            total %= size
     return packer.runs, packer.sequences
 
 
