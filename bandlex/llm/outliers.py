@@ -17,7 +17,6 @@ whole numbers: results do not depend on the order of rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +30,7 @@ WINDOW = 3  # words of a repeated window
 
 UNIT = 512  # vectors are whole multiples of 1 / UNIT
 #: Standard deviation that is added to each statistic's own: what differs by less is not odd.
-SLACK = (0.08, 0.45, 0.35, 0.35, 0.9)
+SLACK = (0.08, 0.4, 0.35, 0.35, 0.6)
 N_STATISTICS = len(SLACK)
 SHARE = 0.75  # of a group's rows that the determinant is minimised over
 MIN_ROWS = 50  # of a group that has its own estimate
@@ -136,18 +135,19 @@ def base_failed() -> Column:
 
 def statistics() -> list[Column]:
     """The vector: logarithms of the word length and of the rates of symbols, capitals,
-    punctuation and repetition, the rates drawn towards a usual value in short texts."""
-    chars = F.col("word_chars") + 100
+    punctuation and repetition.  A rate is one of a text somewhat longer than it is, and
+    starts from a small constant, so that neither short texts nor zeros stand out."""
+    chars, n_words = F.col("word_chars") + 100, F.col("n_words") + 20
 
-    def rate(n: str, of: Column, prior: float) -> Column:
-        return F.log((F.col(n) + prior) / of)
+    def rate(n: str, of: Column, least: float) -> Column:
+        return F.log(F.col(n) / of + least)
 
     values = [
         F.log((F.col("word_chars") + 1) / (F.col("n_words") + 1)),
-        rate("n_symbols", chars, 1.0),
-        rate("n_capitals", chars, 3.0),
-        rate("n_marks", chars, 3.0),
-        rate("n_repeat_words", F.col("n_words") + 20, 1.0),
+        rate("n_symbols", chars, 0.003),
+        rate("n_capitals", chars, 0.01),
+        rate("n_marks", chars, 0.01),
+        rate("n_repeat_words", n_words, 0.05),
     ]
     return [F.round(v * UNIT).cast("long").alias(f"x{i}") for i, v in enumerate(values)]
 
