@@ -22,7 +22,9 @@ LINE = 250  # pieces that are encoded as one text
 #: A run of plain white space and what follows it.
 BYTE_LEVEL_PIECE = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
 #: What some definition counts as white space beside the four above, or ignores.
-OTHER_SPACE = re.compile("[^\\S \\t\\r\\n]|[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u206f\\u3000\\ufeff]")
+OTHER_SPACE = re.compile(
+    r"[^\S \t\r\n]|[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]"
+)
 
 
 def _parts(ids: list[int], of: np.ndarray, n: int) -> list[bytes]:

@@ -178,7 +178,13 @@ def _matrix(present: Sequence[Sequence[int]], rates: Sequence[Sequence[float]],
     return features
 
 
-def train(docs: DataFrame, labels: DataFrame, categories: Mapping[str, str] = CATEGORIES, fit_rows: int = FIT_ROWS, vocabulary: int = VOCABULARY) -> Chain:
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    categories: Mapping[str, str] = CATEGORIES,
+    fit_rows: int = FIT_ROWS,
+    vocabulary: int = VOCABULARY,
+) -> Chain:
     """A chain fitted on at most ``fit_rows`` labelled documents.
 
     The driver gets ``vocabulary`` words, and for each of these documents the words it has
@@ -222,7 +228,13 @@ def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFr
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(predict, schema)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, categories: Mapping[str, str] = CATEGORIES, fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD) -> DataFrame:
+def toxicity(
+    docs: DataFrame,
+    labels: DataFrame,
+    categories: Mapping[str, str] = CATEGORIES,
+    fit_rows: int = FIT_ROWS,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
     """``doc_id, p_low_quality, p_toxic, low_quality, toxic``, one row per row of ``docs``.
 
     Null and empty texts contain no words and are judged by that; repeated rows alike;
