@@ -235,7 +235,9 @@ def with_rates(
     rates = fit_rates(small, model.domains, weights, keep_whole, max_rate)
     rows = small if slim else rows
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    return rows.withColumn("rate", rates.rate()).withColumn("copies", F.floor(F.col("rate") + chance).cast("int"))
+    # computed once, whatever filters on it
+    rows = rows.select("*", one_row(rate=rates.rate()))
+    return rows.select("*", one_row(copies=F.floor(F.col("rate") + chance).cast("int")))
 
 
 def mix(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
