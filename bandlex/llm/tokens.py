@@ -15,7 +15,7 @@ import re
 
 import numpy as np
 
-HELD = 600_000  # pieces of a generation, about 120 MB
+HELD = 400_000  # pieces of a generation, about 80 MB
 LONGEST = 64  # bytes of a piece that is held
 LINE = 250  # pieces that are encoded as one text
 
