@@ -7,8 +7,10 @@ that the expected tokens of every domain match its target:
     minimise  sum_k (sum_i w_i p_ik r_i - t_k)^2 / c_k  +  ridge * sum_i w_i (r_i - 1)^2
     over      0 <= r_i <= max_rate
 
-where ``w`` are shares of all tokens and ``c`` evens out small and large domains.  The
-ridge draws rates to 1, among the many that match.  This is solved by accelerated projected
+where ``w`` are shares of all tokens and ``c`` evens out small and large domains; there is
+no upper bound unless one is given.  A domain of less than a quarter of its target has its
+own share as ``c``, so that the ridge does not hold it back and few steps reach it.  The
+ridge draws rates to 1, among the many that match.  Targets that are missed are reported.  This is solved by accelerated projected
 gradient steps.  A step of document i depends on its own posterior and on one residual per
 domain, which are sums over all documents.  So the driver keeps the residuals of the steps
 so far, a few numbers, and a rate is their function: no state is stored for documents.
@@ -18,6 +20,7 @@ Posteriors are whole thousandths, and documents of one posterior are summed up b
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
@@ -34,7 +37,9 @@ VOCABULARY = 400  # words it looks at
 MIN_DOCS = 3  # labelled documents of a word
 MIN_CHI2 = 20.0  # of a word's table with a domain
 ABSENCE = 0.2  # weight of the words that are missing, which depend on each other
-MAX_RATE = 4.0
+MAX_RATE = math.inf
+RARE = 0.25  # a domain below this part of its target
+MISSED = 0.02  # part of a target by which totals may miss it unreported
 RIDGE = 1e-3
 MAX_STEPS = 60
 TOLERANCE = 1e-6
@@ -137,6 +142,9 @@ class Rates(NamedTuple):
     steps: list[tuple[float, ...]]
     ridge: float
     max_rate: float
+    totals: tuple[float, ...] = ()  # expected tokens of every domain, as shares of all tokens there are
+    targets: tuple[float, ...] = ()
+    converged: bool = True
 
     def _state(self) -> Column:
         """Rate and extrapolated rate after the steps so far, of the column ``p``."""
@@ -177,7 +185,8 @@ def fit_rates(
 
     Targets are ``weights``, which are made to add up to 1, of the present number of
     tokens; with ``keep_whole``, of the number for which that domain keeps the tokens it
-    has.  Without any tokens all rates are 1.
+    has.  Without any tokens all rates are 1.  A warning names the domains whose expected
+    totals miss their targets, and says if the steps ended before the rates settled.
     """
     cells = settle(rows.groupBy("p").agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"))
     [now] = _sums(cells, len(domains), F.lit(1.0))
@@ -190,9 +199,10 @@ def fit_rates(
     if keep_whole is not None:
         k = list(domains).index(keep_whole)
         targets = [t * mass[k] / targets[k] for t in targets]
-    evening = [max(m, t) or 1.0 for m, t in zip(mass, targets)]
+    evening = [(m if 0 < m < RARE * t else max(m, t)) or 1.0 for m, t in zip(mass, targets)]
     before, lowest, momentum = None, math.inf, 1.0
-    for _ in range(max_steps):
+    converged = False
+    for left in range(max_steps, -1, -1):
         state = cells.withColumn("s", found._state()).withColumn("off", (F.col("s.r") - 1) * (F.col("s.r") - 1))
         at_y, at_r, off = _sums(state, len(domains), F.col("s.y"), F.col("s.r"), F.col("off"))
         value = sum((s / total - t) ** 2 / c for s, t, c in zip(at_r, targets, evening)) + ridge * sum(off) / total
@@ -201,11 +211,18 @@ def fit_rates(
             at_y, momentum = at_r, 1.0
         lowest = value
         residuals = [round((s / total - t) / c, 12) for s, t, c in zip(at_y, targets, evening)]
-        if before is not None and max(abs(a - b) for a, b in zip(residuals, before)) < TOLERANCE:
+        converged = before is not None and max(abs(a - b) for a, b in zip(residuals, before)) < TOLERANCE
+        if converged or not left:
             break
         before, last = residuals, momentum
         momentum = (1 + math.sqrt(1 + 4 * last * last)) / 2
         found.steps.append(((last - 1) / momentum, *residuals))
+    found = found._replace(totals=tuple(x / total for x in at_r), targets=tuple(targets), converged=converged)
+    missed = [f"{name}: {x:.4g} of {t:.4g}" for name, x, t in zip(domains, found.totals, targets) if abs(x - t) > MISSED * t]
+    if missed:
+        warnings.warn(f"expected totals miss targets (shares of all tokens): {', '.join(missed)}", stacklevel=2)
+    if not converged:
+        warnings.warn(f"rates did not settle in {max_steps} steps", stacklevel=2)
     return found
 
 

@@ -38,6 +38,29 @@ def test_rates_against_numpy(spark, options):
     assert np.abs(np.array(found) - expected).max() < 0.02
 
 
+def test_rare_domains_match_their_targets(spark):
+    rows = [([1000, 0, 0], 150_000), ([0, 1000, 0], 1_000), ([0, 0, 1000], 849_000)]
+    frame = spark.createDataFrame(rows, "p array<int>, n_tokens long")
+    rates = mixing.fit_rates(frame, list(mixing.DOMAINS))
+    found = frame.select("p", "n_tokens", rates.rate().alias("rate")).collect()
+    for k, weight in enumerate(mixing.WEIGHTS.values()):
+        total = sum(r.rate * r.n_tokens * r.p[k] for r in found) / 1000 / 1_000_000
+        assert abs(total - weight) < mixing.MISSED * weight
+    assert rates.converged and max(r.rate for r in found) > 39
+
+
+def test_missed_targets_are_reported(spark):
+    rows = [([1000, 0, 0], 150_000), ([0, 1000, 0], 1_000), ([0, 0, 1000], 849_000)]
+    frame = spark.createDataFrame(rows, "p array<int>, n_tokens long")
+    with pytest.warns(UserWarning, match="toxic: 0.004 of 0.04"):
+        mixing.fit_rates(frame, list(mixing.DOMAINS), max_rate=4.0)
+    soft = spark.createDataFrame([([600, 300, 100], 10)], "p array<int>, n_tokens long")
+    with pytest.warns(UserWarning, match="miss targets"):
+        mixing.fit_rates(soft, list(mixing.DOMAINS))
+    with pytest.warns(UserWarning, match="did not settle in 1 steps"):
+        assert not mixing.fit_rates(frame, list(mixing.DOMAINS), max_steps=1).converged
+
+
 def test_query(spark, sf):
     frame = op3_mixing(spark, sf)
     assert "Python" not in frame._jdf.queryExecution().executedPlan().toString()
