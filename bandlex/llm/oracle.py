@@ -46,5 +46,87 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM spl
 """
 
 
+def _op11(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """One step per round: all squared distances, the nearest entry, the floors of the means."""
+    steps = [
+        """kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+)""",
+        f"""pieces AS (
+  SELECT vec_id, part, v[part * len(v) // {parts} + 1 : (part + 1) * len(v) // {parts}] AS p FROM kept, range({parts}) AS r(part)
+)""",
+        f"""book0 AS (
+  SELECT part, rn - 1 AS entry, p AS e
+  FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY vec_id, p) AS rn FROM pieces) WHERE rn <= {entries}
+)""",
+    ]
+    for k in range(rounds + 1):
+        steps.append(f"""near{k} AS (
+  SELECT vec_id, part, any_value(p) AS p, min((d, entry)) AS best
+  FROM (SELECT vec_id, part, p, entry, list_sum(list_transform(list_zip(p, e), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS d
+        FROM pieces JOIN book{k} USING (part)) GROUP BY vec_id, part
+)""")
+        if k < rounds:
+            steps.append(f"""book{k + 1} AS (
+  SELECT b.part, b.entry, coalesce(m.e, b.e) AS e FROM book{k} b LEFT JOIN (
+    SELECT part, entry, list(mean ORDER BY place) AS e FROM (
+      SELECT part, best[2] AS entry, place, floor(sum(p[place + 1])::DOUBLE / count(*))::BIGINT AS mean
+      FROM near{k}, range((SELECT max(len(p)) FROM pieces)) AS r(place) GROUP BY ALL
+    ) GROUP BY part, entry
+  ) m USING (part, entry)
+)""")
+    return "WITH " + ",\n".join(steps) + f""",
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code, sum(best[1])::BIGINT AS error
+  FROM near{rounds} GROUP BY vec_id
+),
+labelled AS (SELECT coded.*, label FROM coded JOIN kept USING (vec_id))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) FROM book{rounds}) AS codebooks_sha256
+FROM labelled
+"""
+
+
+OP13 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'),
+      lambda w: translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS words FROM documents
+), words AS (SELECT id, lang, source, unnest(words) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(w.id) AS n
+           FROM groups JOIN kept USING (lang) LEFT JOIN words w USING (lang, source, term) GROUP BY ALL),
+shares AS (
+  SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5) // (sum(n) OVER w + 5 * count(*) OVER w))::BIGINT AS p
+  FROM counts WINDOW w AS (PARTITION BY lang, source)
+),
+language AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5) // (sum(n) OVER w + 5 * count(*) OVER w))::BIGINT AS p
+  FROM kept WINDOW w AS (PARTITION BY lang)
+),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+    coalesce((SELECT sum(abs(x.p - y.p)) FROM shares x JOIN shares y USING (lang, term)
+              WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source != b.source
+),
+terms AS (
+  SELECT s.lang, s.source, 'term' AS part, s.term AS item, s.p - l.p AS value
+  FROM shares s JOIN language l USING (lang, term) WHERE s.n > 0 AND s.p > l.p
+)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2, "op6_exact_dedup": OP6, "op8_url_rules": OP8}
+    return {
+        "op2_warc": OP2,
+        "op6_exact_dedup": OP6,
+        "op8_url_rules": OP8,
+        "op11_vector_codes": _op11(),
+        "op13_source_divergence": OP13,
+    }

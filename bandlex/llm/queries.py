@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bandlex.llm.divergence import source_divergence
 from bandlex.llm.exact_dedup import exact_duplicates
+from bandlex.llm.hash_forest import nearest_vectors
 from bandlex.llm.mixing import DOMAINS, SCALE, with_rates
 from bandlex.llm.outliers import quality_verdicts
 from bandlex.llm.packing import pack_documents
@@ -17,6 +19,7 @@ from bandlex.llm.simhash import near_duplicates
 from bandlex.llm.token_counts import count_tokens
 from bandlex.llm.toxicity import toxicity
 from bandlex.llm.url_rules import judge_urls
+from bandlex.llm.vector_codes import vector_codes
 from bandlex.llm.warc import archived_pages
 
 
@@ -80,6 +83,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(_table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def op12_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_outliers": op1_quality_outliers,
@@ -92,4 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_rules": op8_url_rules,
         "op9_packing": op9_packing,
         "op10_toxicity": op10_toxicity,
+        "op11_vector_codes": op11_vector_codes,
+        "op12_hash_forest": op12_hash_forest,
+        "op13_source_divergence": op13_source_divergence,
     }
