@@ -36,5 +36,3 @@ def three_docs(spark):
         "doc_id bigint, text string",
     )
 
-
-STOP = ["the", "and", "are", "two"]

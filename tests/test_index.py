@@ -7,7 +7,7 @@ import pytest
 from bandlex.functions.text import idf
 from bandlex.operators.contrast import distinctive_terms, idf_report, top_words, topk_terms
 from bandlex.operators.index import document_frequency, doc_term_forms, idf_by_band, term_forms, term_statistics
-from conftest import STOP
+from fixed_words import STOP
 from porter import stem
 from pyspark.sql import functions as F
 
