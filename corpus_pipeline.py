@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bandlex.llm.exact_dedup import drop_exact_duplicates
 from bandlex.llm.mixing import mix
-from bandlex.llm.near_dedup import drop_near_duplicates
 from bandlex.llm.outliers import drop_rejected
 from bandlex.llm.packing import pack_documents
 from bandlex.llm.queries import tokenizer_path
 from bandlex.llm.shared import new_path
+from bandlex.llm.simhash import drop_near_duplicates
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +24,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group that 4-word SimHash fingerprints within 4 bits link."""
     return drop_near_duplicates(docs)
 
 
