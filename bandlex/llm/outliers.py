@@ -55,22 +55,16 @@ def _count(text: Column, kind: str) -> Column:
     return F.length(F.regexp_replace(text, f"[^{kind}]+", "")).cast("long")
 
 
-def _repeat_words(ordered: Column, n_bits: Column) -> Column:
-    """Words covered by the windows whose key occurs more than once.
-
-    ``ordered`` holds one number per window, its key in the upper bits and its place in
-    the lower ``n_bits``, in ascending order; equal keys are neighbours.
-    """
-
-    def key(x: Column) -> Column:
-        return F.call_function("shiftright", x, n_bits)
+def _repeat_words(ordered: Column) -> Column:
+    """Words covered by the windows whose key occurs more than once.  ``ordered`` holds a
+    ``key`` and ``place`` for each window, in ascending order; equal keys are neighbours."""
 
     def repeated(x: Column, i: Column) -> Column:
         before, after = F.get(ordered, i - 1), F.get(ordered, i + 1)
-        return F.coalesce(key(before) == key(x), F.lit(False)) | F.coalesce(key(after) == key(x), F.lit(False))
+        return F.coalesce(before["key"] == x["key"], F.lit(False)) | F.coalesce(after["key"] == x["key"], F.lit(False))
 
-    places = F.transform(F.filter(ordered, repeated), lambda x: x - F.call_function("shiftleft", key(x), n_bits))
-    state = F.struct(F.lit(-WINDOW).cast("long").alias("last"), F.lit(0).cast("long").alias("n"))
+    places = F.transform(F.filter(ordered, repeated), lambda x: x["place"])
+    state = F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).cast("long").alias("n"))
     return F.aggregate(
         F.sort_array(places),
         state,
@@ -86,8 +80,8 @@ def text_counts(docs: DataFrame) -> DataFrame:
     Words are separated by ASCII white space.  ``n_dup_lines`` counts lines with a word
     that equal an earlier line, ``n_repeat_words`` the words in windows of three words
     that occur twice or more.  A null text counts as empty.  Windows are compared by
-    64-bit hashes less the bits that a place in the text needs, which for 20,000 words
-    errs in one text of millions.
+    64-bit hashes, which for a text of five million different words errs in one text of a
+    million.
     """
     others = [c for c in docs.columns if c != "text"]
     text = F.coalesce("text", F.lit(""))
@@ -96,7 +90,7 @@ def text_counts(docs: DataFrame) -> DataFrame:
     key = F.xxhash64
     windows = F.transform(
         F.sequence(F.lit(0), F.greatest(n - WINDOW, F.lit(0))),
-        lambda i: key(*(F.get("words", i + j) for j in range(WINDOW))),
+        lambda i: F.struct(key(*(F.get("words", i + j) for j in range(WINDOW))).alias("key"), i.alias("place")),
     )
     rows = rows.select(
         *others,
@@ -108,24 +102,17 @@ def text_counts(docs: DataFrame) -> DataFrame:
             n_capitals=_count(F.col("text"), r"\p{Lu}"),
             n_marks=_count(F.col("text"), MARKS),
             lines=F.filter("lines", lambda line: line.rlike(r"[^\x20\x09-\x0D]")),
-            windows=F.when(n >= WINDOW, windows).otherwise(F.array().cast("array<bigint>")),
-            n_bits=F.ceil(F.log2(n + 1)).cast("int"),
+            windows=F.when(n >= WINDOW, windows).otherwise(F.array().cast("array<struct<key: bigint, place: int>>")),
         ),
     ).drop("words")
-
-    def place(x: Column, i: Column) -> Column:
-        upper = F.call_function("shiftleft", F.call_function("shiftright", x, F.col("n_bits")), F.col("n_bits"))
-        return upper + i
-
-    counts = [c for c in rows.columns if c not in (*others, "lines", "windows", "n_bits")]
+    counts = [c for c in rows.columns if c not in (*others, "lines", "windows")]
     rows = rows.select(
         *others,
         *counts,
-        "n_bits",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        one_row(ordered=F.sort_array(F.transform("windows", place))),
+        one_row(ordered=F.sort_array("windows")),
     )
-    return rows.select(*others, *counts, "n_dup_lines", _repeat_words(F.col("ordered"), F.col("n_bits")).alias("n_repeat_words"))
+    return rows.select(*others, *counts, "n_dup_lines", _repeat_words(F.col("ordered")).alias("n_repeat_words"))
 
 
 def base_failed() -> Column:
@@ -387,7 +374,8 @@ def quality_verdicts(
 
 
 def drop_rejected(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns."""
+    """The rows of ``docs`` that are kept, with all their columns as they are, whatever their
+    names.  Null and empty texts go; repeated rows stay or go together; no rows give none."""
     docs = docs.withColumn(DIGEST, row_digest("text", "lang", "source"))
     verdicts = settle(quality_verdicts(docs, carry=(DIGEST,), **options))
     return without_rows(docs, verdicts.where(~F.col("kept")), verdicts.limit(0))

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from bandlex.llm import outliers
 from bandlex.llm.queries import op1_quality_outliers
@@ -93,3 +94,11 @@ def test_estimate_withstands_a_contaminated_third(spark):
     # the same, whatever the order of rows
     again = outliers.mcd_estimates(vectors.repartition(3, "x1"))
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, estimates.collect()))
+
+
+def test_long_texts_of_different_words_repeat_nothing(spark):
+    """Windows are told apart by whole hashes, however many places a text has."""
+    docs = spark.range(1).select(
+        F.lit(1).alias("doc_id"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2_000_000)), lambda i: F.hex(i)), " ").alias("text")
+    )
+    assert docs.transform(outliers.text_counts).first().n_repeat_words == 0
