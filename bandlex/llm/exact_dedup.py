@@ -119,7 +119,8 @@ def exact_duplicates(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 
 def drop_exact_duplicates(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns as they are, whatever their names.
+    Null and empty texts, null ids and repeated rows are treated as by `exact_duplicates`."""
     found = settle(exact_duplicates(docs, counters)).withColumnRenamed("text_sha256", DIGEST)
     same = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     return without_rows(docs.withColumn(DIGEST, text_digest()), found.where(~same), found.where(same & ~F.col("kept")))

@@ -27,7 +27,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bandlex.llm.shared import one_row, settle, words
+from bandlex.llm.shared import PRIVATE, bring_back, one_row, set_aside, settle, words
 
 #: Domains as conditions on the labels.
 DOMAINS = {"good": "quality = 1 AND toxic = 0", "toxic": "toxic = 1", "poor": "quality = 0 AND toxic = 0"}
@@ -44,6 +44,7 @@ RIDGE = 1e-3
 MAX_STEPS = 60
 TOLERANCE = 1e-6
 SCALE = 1000  # posteriors are whole multiples of 1 / SCALE
+WORDS, PRESENT, SCORE, ODDS, COPY = (f"{name}_{PRIVATE}" for name in ("words", "present", "score", "odds", "copy"))
 
 
 class Classifier(NamedTuple):
@@ -85,8 +86,8 @@ def fit_classifier(
     names = tuple(domains)
     sample = F.broadcast(labelled(labels, domains, fit_rows))  # of fit_rows rows at most
     found = docs.select("doc_id", "text").join(sample, "doc_id")
-    found = found.select("domain", one_row(_words=words(F.lower("text"))))
-    found = found.select("domain", features(F.col("_words")).alias("words"))
+    found = found.select("domain", one_row(**{WORDS: words(F.lower("text"))}))
+    found = found.select("domain", features(F.col(WORDS)).alias("words"))
     sizes = {r.domain: r.n for r in found.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     n = [sizes.get(name, 0) for name in names]
     total = sum(n)
@@ -119,18 +120,19 @@ def with_posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
     table = [F.struct(F.lit(w).alias("key"), F.array(*map(F.lit, x)).alias("value")) for w, x in model.weights.items()]
     vocabulary = F.array(*map(F.lit, model.weights)) if table else F.array().cast("array<string>")
     base = F.array(*map(F.lit, model.base))
-    rows = docs.select("*", one_row(_words=words(F.lower("text"))))
+    rows = docs.select("*", one_row(**{WORDS: words(F.lower("text"))}))
     rows = rows.select(
         *docs.columns,
-        one_row(n_tokens=F.size("_words").cast("long"), _present=F.array_intersect(features(F.col("_words")), vocabulary)),
+        one_row(**{"n_tokens": F.size(WORDS).cast("long"), PRESENT: F.array_intersect(features(F.col(WORDS)), vocabulary)}),
     )
     score = base
     if table:
         lookup = F.map_from_entries(F.array(*table))
-        score = F.aggregate("_present", base, lambda s, w: F.zip_with(s, F.element_at(lookup, w), lambda a, b: a + b))
-    rows = rows.select(*docs.columns, "n_tokens", one_row(_score=score))
-    rows = rows.select(*docs.columns, "n_tokens", one_row(_odds=F.transform("_score", lambda s: F.exp(s - F.array_max("_score")))))
-    sums = [sum((F.get("_odds", k) for k in range(upto)), F.lit(0.0)) for upto in range(count + 1)]
+        score = F.aggregate(PRESENT, base, lambda s, w: F.zip_with(s, F.element_at(lookup, w), lambda a, b: a + b))
+    rows = rows.select(*docs.columns, "n_tokens", one_row(**{SCORE: score}))
+    odds = F.transform(SCORE, lambda s: F.exp(s - F.array_max(SCORE)))
+    rows = rows.select(*docs.columns, "n_tokens", one_row(**{ODDS: odds}))
+    sums = [sum((F.get(ODDS, k) for k in range(upto)), F.lit(0.0)) for upto in range(count + 1)]
     # whole parts that add up exactly: differences of rounded sums
     upto = [F.round(s / sums[-1] * SCALE).cast("int") for s in sums]
     return rows.select(*docs.columns, "n_tokens", F.array(*(upto[k + 1] - upto[k] for k in range(count))).alias("p"))
@@ -242,7 +244,8 @@ def with_rates(
     ``copies`` is a whole number whose expectation is ``rate``, drawn by a hash of
     ``doc_id``.  ``slim`` returns ``doc_id`` in place of all columns and reads the texts
     once less.  Null and empty texts have no tokens and the rate of their posterior;
-    repeated rows have equal rates; no rows give no rows.
+    repeated rows have equal rates; no rows give no rows.  Columns of ``docs`` that have the
+    name of a new one are replaced by it.
     """
     model = fit_classifier(docs, labels, fit_rows=fit_rows, vocabulary=vocabulary)
     clash = [c for c in ("n_tokens", "p", "rate", "copies") if c in docs.columns]
@@ -258,7 +261,9 @@ def with_rates(
 
 
 def mix(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as many times as ``with_rates`` says."""
-    rows = with_rates(docs, labels, **options)
+    """The rows of ``docs``, each as many times as ``with_rates`` says, with all their columns as
+    they are, whatever their names.  Null and empty texts, repeated rows and no rows are
+    treated as there."""
+    rows = with_rates(set_aside(docs, "doc_id", "text"), labels, **options)
     times = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    return rows.where("copies > 0").select(*docs.columns, times.alias("_copy")).drop("_copy")
+    return bring_back(rows.where("copies > 0").select("*", times.alias(COPY)), docs, "doc_id", "text")

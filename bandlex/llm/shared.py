@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,10 +17,13 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors share, as ``spark.checkpoint.dir``
-    names it.  Only a session that names none, such as a local test, gets its own."""
+    names it.  A local session that names none, such as a test, gets its own; a cluster has
+    to name one, since its executors do not see the driver's folders."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if named is None and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="llm-"))
     return (named or context.getCheckpointDir()).rstrip("/")
 
@@ -51,8 +55,22 @@ def one_row(**columns: Column) -> Column:
     return F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items()))))
 
 
+#: What the names of working columns end in, beside those of a caller's table.
+PRIVATE = uuid.uuid4().hex
 #: The column that, with ``doc_id``, tells rows of documents apart.
-DIGEST = "_digest"
+DIGEST = f"digest_{PRIVATE}"
+
+
+def set_aside(docs: DataFrame, *used: str) -> DataFrame:
+    """``docs`` with names that clash with nothing for all columns but those ``used``.
+    `bring_back` gives them their own again."""
+    return docs.toDF(*(c if c in used else f"c{i}_{PRIVATE}" for i, c in enumerate(docs.columns)))
+
+
+def bring_back(aside: DataFrame, docs: DataFrame, *used: str) -> DataFrame:
+    """The columns of ``docs`` in a table made from what `set_aside` returned."""
+    names = (c if c in used else f"c{i}_{PRIVATE}" for i, c in enumerate(docs.columns))
+    return aside.select(*(F.col(name).alias(c) for name, c in zip(names, docs.columns)))
 
 
 def row_digest(*columns: str) -> Column:

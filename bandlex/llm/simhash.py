@@ -25,7 +25,7 @@ A cell returns a spanning forest of its links, not all its pairs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bandlex.llm.components import connected_components
-from bandlex.llm.shared import settle
+from bandlex.llm.shared import DIGEST, row_digest, settle, without_rows
 from bandlex.operators.lookup import fits_broadcast
 
 SEED = 42
@@ -263,19 +263,20 @@ def fingerprint_links(
 # components
 
 
-def classified(prints: DataFrame, links: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``doc_id, carried, fingerprint, component, least, component_size`` of the rows of
-    ``prints``, which is settled: the component as a fingerprint, and its row that is
-    preferred.  ``links`` finds links between fingerprints that are distinct and settled."""
+def _classified(docs: DataFrame, radius: int, blocks: int, carry: Column | None = None) -> DataFrame:
+    """``doc_id, carried, fingerprint, component, least, component_size``: the component as a
+    fingerprint, and its row that is preferred."""
+    prints = settle(with_fingerprint(docs, carry))
     place = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "carried"))
     distinct = settle(prints.groupBy("fingerprint").agg(place.alias("first"), F.count("*").alias("n")))
-    labels = connected_components(links(distinct)).withColumnRenamed("node", "fingerprint")
+    labels = connected_components(fingerprint_links(distinct.select("fingerprint"), radius, blocks))
+    labels = labels.withColumnRenamed("node", "fingerprint")
     placed = settle(
         distinct.join(labels, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
     )
     components = placed.groupBy("component").agg(F.min("first").alias("least"), F.sum("n").alias("component_size"))
     classes = placed.join(components, "component").select("fingerprint", "component", "least", "component_size")
-    return prints.select("doc_id", "carried", "fingerprint").join(classes, "fingerprint")
+    return prints.join(classes, "fingerprint")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
@@ -287,10 +288,23 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS)
     Null and empty texts have fingerprint zero and are linked like any other.  Repeated
     rows are in one component; other columns are ignored; no rows give no rows.
     """
-    prints = settle(with_fingerprint(docs))
-    return classified(prints, lambda found: fingerprint_links(found.select("fingerprint"), radius, blocks)).select(
+    return _classified(docs, radius, blocks).select(
         "doc_id",
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         F.col("least.doc_id").alias("component_id"),
         "component_size",
     )
+
+
+def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """One row of each component of ``docs``, that of the smallest ``doc_id`` (nulls last), with
+    all its columns as they are, whatever their names.
+
+    Null and empty texts are linked like any other; of repeated rows at most one stays; no
+    rows give no rows.
+    """
+    docs = docs.withColumn(DIGEST, row_digest("text"))
+    rows = settle(_classified(docs, radius, blocks, F.col(DIGEST))).withColumnRenamed("carried", DIGEST)
+    stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col(DIGEST) == F.col("least.carried"))
+    repeated = rows.where(stays).groupBy("doc_id", DIGEST).agg(F.count("*").alias("n")).where("n > 1")
+    return without_rows(docs, rows.where(~stays), repeated)

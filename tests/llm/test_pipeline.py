@@ -5,6 +5,8 @@ import re
 import pytest
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from bandlex.llm.shared import new_path
 from test_outliers import brute_counts
 from test_packing import check
@@ -87,3 +89,17 @@ def test_near_dedup_keeps_one_of_repeated_rows(spark, odd_docs, sf):
     rows = corpus_pipeline.near_dedup(spark, docs, sf).collect()
     expected = brute_components(range(docs.count()), [brute_print(d.text) for d in docs.collect()])
     assert len(rows) == len(set(expected))
+
+
+def test_columns_of_any_name_come_through(spark, sf):
+    """Every stage but the last returns rows as they were, whatever their columns are called."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 300")
+    names = ["n_tokens", "p", "rate", "copies", "_digest", "_words", "_present", "_score", "_odds", "_copy", "words", "lines", "windows",
+             "kept", "own", "g", "x0", "id", "row", "least", "carried", "fingerprint", "component", "digest", "_id", "_key"]
+    docs = docs.select("*", *(F.concat(F.lit(f"{name} "), "doc_id").alias(name) for name in names)).cache()
+    before = set(docs.collect())
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, sf)
+        rows = after.collect()
+        assert after.columns == docs.columns and rows and set(rows) <= before
+    assert check(corpus_pipeline.packing(spark, docs, sf).collect(), list(before)) < 0.02
