@@ -1,7 +1,8 @@
 """Document frequency, surface forms and IDF per term.
 
 ``docs`` needs ``doc_id`` (one row per id), ``text`` and the columns named in ``by``,
-such as the band; everything is computed per combination of those.
+such as the band; everything is computed per combination of those.  ``analyser`` says what
+the words and terms of a text are.
 """
 
 from __future__ import annotations
@@ -11,19 +12,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bandlex.functions.analysis import STEMS, Analyser
 from bandlex.functions.text import idf
 from bandlex.operators.tokens import Stopwords, document_words, remove_stopwords, stem_tokens
 from bandlex.plans.settle import settle
 
 
 def doc_term_forms(
-    docs: DataFrame, by: Sequence[str] = (), stopwords: Stopwords = None, normalize: bool = False
+    docs: DataFrame,
+    by: Sequence[str] = (),
+    stopwords: Stopwords = None,
+    normalize: bool = False,
+    analyser: Analyser = STEMS,
 ) -> DataFrame:
     """Distinct ``(doc_id, term, token)`` with ``pos``, the order within the document.
 
     ``normalize`` cleans the stop words as words are cleaned, here and below."""
-    words = document_words(docs.select("doc_id", *by, "text"))
-    return stem_tokens(remove_stopwords(words, stopwords, normalize))
+    words = document_words(docs.select("doc_id", *by, "text"), analyser=analyser)
+    return stem_tokens(remove_stopwords(words, stopwords, normalize, analyser), analyser)
 
 
 def _colocate(docs: DataFrame, by: Sequence[str], colocated: bool) -> DataFrame:
@@ -38,11 +44,11 @@ def _colocate(docs: DataFrame, by: Sequence[str], colocated: bool) -> DataFrame:
 
 
 def _counted_words(
-    docs: DataFrame, by: Sequence[str], stopwords: Stopwords, colocated: bool, normalize: bool
+    docs: DataFrame, by: Sequence[str], stopwords: Stopwords, colocated: bool, normalize: bool, analyser: Analyser
 ) -> DataFrame:
     """Words with ``counts``: 1 for the first form of a term within a document, else 0,
     so that a sum over any number of forms counts documents."""
-    words = doc_term_forms(_colocate(docs, by, colocated), by, stopwords, normalize)
+    words = doc_term_forms(_colocate(docs, by, colocated), by, stopwords, normalize, analyser)
     in_document = Window.partitionBy("doc_id", *by, "term").orderBy("pos")
     return words.withColumn("counts", F.when(F.row_number().over(in_document) == 1, 1).otherwise(0))
 
@@ -53,13 +59,14 @@ def document_frequency(
     stopwords: Stopwords = None,
     colocated: bool = False,
     normalize: bool = False,
+    analyser: Analyser = STEMS,
 ) -> DataFrame:
     """``df``: number of documents that hold a term.
 
     ``colocated=True`` says that ``docs`` is partitioned by ``doc_id`` already, for
     example a table bucketed by it, and saves the shuffle of the text.
     """
-    words = doc_term_forms(_colocate(docs, by, colocated), by, stopwords, normalize)
+    words = doc_term_forms(_colocate(docs, by, colocated), by, stopwords, normalize, analyser)
     # a document's words are in one partition: distinct needs neither exchange nor sort
     terms = words.select("doc_id", *by, "term").distinct()
     return terms.groupBy(*by, "term").agg(F.count("*").alias("df"))
@@ -86,15 +93,34 @@ def term_statistics(
     stopwords: Stopwords = None,
     colocated: bool = False,
     normalize: bool = False,
+    analyser: Analyser = STEMS,
 ) -> DataFrame:
     """``df`` and ``forms`` per term in one pass over the text.
 
     Sums are combined before each shuffle; what is shuffled beyond the text is the
     vocabulary, not the occurrences.
     """
-    words = _counted_words(docs, by, stopwords, colocated, normalize)
-    per_form = words.groupBy(*by, "term", "token").agg(F.sum("counts").alias("df"), *_first_occurrence())
-    return _ordered_forms(per_form, by, F.sum("df").alias("df"))
+    return merged_statistics(partial_statistics(docs, by, stopwords, colocated, normalize, analyser), by)
+
+
+def partial_statistics(
+    docs: DataFrame,
+    by: Sequence[str] = (),
+    stopwords: Stopwords = None,
+    colocated: bool = False,
+    normalize: bool = False,
+    analyser: Analyser = STEMS,
+) -> DataFrame:
+    """``by..., term, token, df, first_doc, first_pos``: what a batch of documents adds to the
+    statistics of its terms.  Rows of several batches of different documents, in any order,
+    are `merged_statistics` of all of them."""
+    words = _counted_words(docs, by, stopwords, colocated, normalize, analyser)
+    return words.groupBy(*by, "term", "token").agg(F.sum("counts").alias("df"), *_first_occurrence())
+
+
+def merged_statistics(partial: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``by..., term, df, forms`` from partial statistics."""
+    return _ordered_forms(partial, by, F.sum("df").alias("df"))
 
 
 def term_forms(
@@ -103,23 +129,25 @@ def term_forms(
     stopwords: Stopwords = None,
     forms: str = "all",
     normalize: bool = False,
+    analyser: Analyser = STEMS,
 ) -> DataFrame:
     """Distinct surface forms per term, ordered by document and place in it.
 
     ``forms="skip_first_doc"`` leaves out what the first document of a term holds, so
     that a term of one document has none.
     """
-    words = remove_stopwords(document_words(docs.select("doc_id", *by, "text")), stopwords, normalize)
+    words = document_words(docs.select("doc_id", *by, "text"), analyser=analyser)
+    words = remove_stopwords(words, stopwords, normalize, analyser)
     if forms == "all":
         # grouped by the word itself, so that each distinct word is stemmed once
-        return _ordered_forms(stem_tokens(words.groupBy(*by, "token").agg(*_first_occurrence())), by)
+        return _ordered_forms(stem_tokens(words.groupBy(*by, "token").agg(*_first_occurrence()), analyser), by)
     if forms != "skip_first_doc":
         raise ValueError(f"forms must be 'all' or 'skip_first_doc', not {forms!r}")
     # the first two documents of a word suffice: one of them is not the term's first
     of_word = Window.partitionBy(*by, "token").orderBy("doc_id")
     of_term = Window.partitionBy(*by, "term")
     early = words.withColumn("nth", F.row_number().over(of_word)).where("nth <= 2")
-    later = stem_tokens(early.drop("nth")).withColumn("term_doc", F.min("doc_id").over(of_term))
+    later = stem_tokens(early.drop("nth"), analyser).withColumn("term_doc", F.min("doc_id").over(of_term))
     kept = later.groupBy(*by, "term", "token").agg(
         F.min(F.when(F.col("doc_id") > F.col("term_doc"), F.col("doc_id"))).alias("first_doc"),
         F.min_by(
@@ -151,6 +179,7 @@ def idf_by_band(
     drop_last_term: bool = False,
     colocated: bool = False,
     normalize: bool = False,
+    analyser: Analyser = STEMS,
 ) -> DataFrame:
     """``by..., term, df, idf, forms``.
 
@@ -162,9 +191,9 @@ def idf_by_band(
     when this is called.
     """
     docs = _colocate(corpus, by, colocated)
-    table = term_statistics(docs, by, stopwords, True, normalize)
+    table = term_statistics(docs, by, stopwords, True, normalize, analyser)
     if forms != "all":
-        table = table.drop("forms").join(term_forms(docs, by, stopwords, forms, normalize), [*by, "term"])
+        table = table.drop("forms").join(term_forms(docs, by, stopwords, forms, normalize, analyser), [*by, "term"])
     if drop_last_term:
         table = settle(table)
         last = table.groupBy(*by).agg(F.max("term").alias("term"))

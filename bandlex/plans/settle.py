@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def settle(table: DataFrame) -> DataFrame:
@@ -17,3 +20,12 @@ def settle(table: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None and folder is not None:
         context.setCheckpointDir(folder)
     return table.persist() if context.getCheckpointDir() is None else table.checkpoint()
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A folder for tables that later steps read: the shared one that ``spark.checkpoint.dir``
+    names, and on a local session without that setting one of its own."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named is None and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (named or tempfile.mkdtemp(prefix="bandlex-")).rstrip("/")

@@ -11,6 +11,7 @@ from bandlex.functions.text import author_from_file_name, normalize_text
 from bandlex.operators.bands import parse_corpus_lines, parse_score_lines, score_author, score_last_wins
 from bandlex.operators.lookup import join_lookup
 from bandlex.plans.settle import settle
+from bandlex.sources.versions import read_versions
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -83,6 +84,12 @@ def read_corpus(spark: SparkSession, path: str, on_bad: str = "error") -> DataFr
     return parse_corpus_lines(lines, "value", on_bad).select("doc_id", "band", "text")
 
 
+def read_bands(spark: SparkSession, path: str, bands: list[str] | None = None) -> DataFrame:
+    """``doc_id, band, text`` of the corpora that `sources.writers.replace_bands` wrote, of all
+    bands or of those named; a band without documents has no rows."""
+    return read_versions(spark, path, bands)
+
+
 def read_idf(spark: SparkSession, path: str) -> DataFrame:
     """An IDF table written as text: the ``part-`` files of one directory per band."""
     lines = spark.read.text(path, pathGlobFilter="part-*")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bandlex.functions.text import normalize_text
+from bandlex.operators.bands import LABELS
 from bandlex.operators.contrast import render_line, report_order
+from bandlex.sources.versions import publish_parts
 
 
 def write_corpus(corpus: DataFrame, path: str) -> None:
@@ -24,6 +28,17 @@ def write_corpus_table(corpus: DataFrame, table: str, buckets: int) -> None:
     writer.bucketBy(buckets, "doc_id").sortBy("doc_id").saveAsTable(table)
 
 
+def replace_bands(corpus: DataFrame, path: str, bands: Sequence[str] = LABELS) -> None:
+    """Write the corpora of ``bands`` at ``path``, in place of earlier ones of these bands; other
+    bands there stay as they are.
+
+    Readers (`sources.readers.read_bands`) see the old corpora until all the new ones are
+    there, also when the write fails.  A band without documents is there, without rows.
+    """
+    corpus = corpus.select("doc_id", "band", "text")
+    publish_parts({band: corpus.where(F.col("band") == band) for band in bands}, path)
+
+
 def write_idf(table: DataFrame, path: str) -> None:
     """Lines ``idf <tab> term <tab> forms``, one directory per band."""
     lines = table.select("band", render_line(table).alias("value"))

@@ -9,7 +9,7 @@ a direct sum.  Only fixed values are shared.
 from __future__ import annotations
 
 from bandlex.functions.stem import DROPPED_SUFFIXES, LONG_SUFFIXES, SHORT_SUFFIXES
-from checks.queries import STEPS, STOPWORDS, TOP_BAND, TOP_N
+from checks.queries import N_DOCS_SAID, STEPS, STOPWORDS, TOP_BAND, TOP_N
 
 
 def _ctes(*steps: str) -> str:
@@ -231,6 +231,127 @@ later AS (
 _ALL = _ctes(*_WORD_STEPS, _OCCURRENCES, *_BAND_STEPS, _BY_BAND)
 _WORDS = _ctes(*_WORD_STEPS, _OCCURRENCES)
 
+# --- another analyser ---------------------------------------------------------------------
+
+_LETTER_STEPS = (
+    """
+pieces AS (
+  SELECT doc_id, source, unnest(range(len(p))) AS pos, unnest(p) AS piece
+  FROM (SELECT doc_id, source, string_split(regexp_replace(lower(text), '[^\\p{L}]+', ' ', 'g'), ' ') AS p FROM documents)
+),
+tokens AS (SELECT doc_id, source, pos, piece AS token FROM pieces WHERE length(piece) >= 2)""",
+    _STOPPED,
+    "\nstems AS (SELECT DISTINCT token, token AS term FROM words)",
+)
+
+# --- phrases ------------------------------------------------------------------------------
+
+
+def _cell(n: str, row: str, column: str) -> str:
+    return f"CASE WHEN {n} > 0 THEN ({n}) * ln(({n}) / ({row}) * (total / ({column}))) ELSE 0 END"
+
+
+_SCORE = " + ".join(
+    (
+        _cell("n", "n_first", "n_second"),
+        _cell("n_first - n", "n_first", "total - n_second"),
+        _cell("n_second - n", "total - n_first", "n_second"),
+        _cell("total - n_first - n_second + n", "total - n_first", "total - n_second"),
+    )
+)
+_PHRASES = f"""
+pairs AS (
+  SELECT a.doc_id, a.pos, a.term AS first, b.term AS second
+  FROM occurrences a JOIN occurrences b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1
+),
+counted AS (SELECT first, second, count(*) AS n FROM pairs GROUP BY first, second),
+tabled AS (
+  SELECT *, sum(n) OVER (PARTITION BY first)::BIGINT AS n_first, sum(n) OVER (PARTITION BY second)::BIGINT AS n_second,
+         sum(n) OVER ()::BIGINT AS total FROM counted
+),
+phrases AS (
+  SELECT first, second, n, 2 * ({_SCORE}) AS score
+  FROM tabled WHERE n >= 5 AND n * total > n_first * n_second
+),
+places AS (
+  SELECT doc_id, pos, first, second, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS run
+  FROM pairs JOIN phrases USING (first, second) WHERE score >= 10.828
+),
+taken AS (
+  SELECT first, second, count(*) AS taken
+  FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, run ORDER BY pos) AS nth FROM places)
+  WHERE nth % 2 = 1 GROUP BY first, second
+)"""
+_SHOW_PHRASES = """SELECT first, second, n, round(score, 4) AS score, coalesce(taken, 0) AS taken
+FROM phrases LEFT JOIN taken USING (first, second) WHERE score >= 10.828"""
+
+# --- term ids -----------------------------------------------------------------------------
+
+_TERM_IDS = """
+halves AS (SELECT token, term, min(doc_id % 2) AS half FROM occurrences GROUP BY token, term),
+term_halves AS (SELECT term, min(half) AS half FROM halves GROUP BY term),
+token_numbers AS (SELECT token, row_number() OVER (ORDER BY half, token) - 1 AS token_id FROM halves),
+term_numbers AS (SELECT term, row_number() OVER (ORDER BY half, term) - 1 AS term_id FROM term_halves)"""
+
+# --- suspects -----------------------------------------------------------------------------
+
+_SUSPECTS = f"""
+suspects AS (
+  SELECT 'unscored' AS cause, doc_id::VARCHAR AS key, source AS detail FROM documents WHERE source LIKE '%1%'
+  UNION ALL
+  SELECT 'bad line', md5(line), left(line, 80) FROM (
+    SELECT CASE lang WHEN 'de' THEN doc_id || ' ' || text ELSE 'x' || doc_id || chr(9) || text END AS line
+    FROM documents WHERE lang IN ('de', 'fr'))
+  UNION ALL
+  SELECT 'undefined idf', band || ' ' || term, 'df ' || df FROM per_term WHERE df > {N_DOCS_SAID}
+),
+hashed AS (SELECT DISTINCT *, md5(concat_ws(chr(31), '42', cause, key)) AS priority FROM suspects)"""
+
+# --- bootstrap ----------------------------------------------------------------------------
+
+
+def _uniform(name: str) -> str:
+    return f"((('0x' || left(md5('42 {name} ' || b || ' ' || cell), 13))::BIGINT + 0.5) / 16::DOUBLE ** 13)"
+
+
+_BOOTSTRAP = f"""
+cells AS (
+  SELECT floor((v - lo) / delta)::BIGINT AS cell, count(*) AS n, sum((v - lo) / delta - floor((v - lo) / delta)) AS part
+  FROM vals, grid GROUP BY 1
+),
+chances AS (
+  SELECT n, k, sum(exp(k * ln(n) - n - lgamma(k + 1))) OVER (PARTITION BY n ORDER BY k) AS below
+  FROM (SELECT DISTINCT n FROM cells WHERE n <= 64), range(200) AS r(k)
+),
+uniforms AS (SELECT cell, n, part, b, {_uniform("a")} AS u, {_uniform("b")} AS v FROM cells, range(1, 201) AS r(b)),
+drawn AS (
+  SELECT cell, n, part, b, coalesce(sum((below < u)::INT), any_value(
+    greatest(floor(n + sqrt(n) * sqrt(-2 * ln(u)) * cos(2 * pi() * v) + 0.5), 0)))::DOUBLE AS w
+  FROM uniforms LEFT JOIN chances USING (n) GROUP BY cell, n, part, b
+  UNION ALL SELECT cell, n, part, 0, n FROM cells
+),
+weights AS (
+  SELECT b, bin, sum(w) AS w FROM (
+    SELECT b, cell AS bin, (n - part) * w / n AS w FROM drawn UNION ALL SELECT b, cell + 1, part * w / n FROM drawn
+  ) GROUP BY b, bin
+),
+reach AS (SELECT i, x, points.dx, place, floor(place) AS below, place - floor(place) AS rest, delta, bw FROM points, grid),
+tops AS (
+  SELECT b, i, any_value(x) AS x, any_value(dx) AS dx,
+    sum(w * ((1 - rest) * exp(-0.5 * ((below - bin) * delta / bw) ** 2) + rest * exp(-0.5 * ((below + 1 - bin) * delta / bw) ** 2)))
+      / any_value(bw * sqrt(2 * pi())) AS y
+  FROM weights, reach WHERE w > 0 GROUP BY b, i
+),
+totals AS (SELECT b, sum(w) AS whole FROM weights GROUP BY b),
+areas AS (
+  SELECT b, i, x, coalesce((y + lag(y) OVER (PARTITION BY b ORDER BY i)) / 2 * dx, 0) / whole AS area FROM tops JOIN totals USING (b)
+),
+curves AS (SELECT b, x, sum(area) OVER (PARTITION BY b ORDER BY i) AS cdf FROM areas),
+lowers AS (SELECT b, min(x) AS lower, min(cdf) AS reached FROM curves WHERE cdf > 1.0 / 3.0 GROUP BY b),
+cuts AS (SELECT b, lower, (SELECT min(x) FROM curves c WHERE c.b = l.b AND cdf - reached > 1.0 / 3.0) AS upper FROM lowers l),
+ends AS (SELECT b, 'lower' AS cut, lower AS x FROM cuts UNION ALL SELECT b, 'upper', upper FROM cuts)"""
+
+
 # --- score lines ------------------------------------------------------------------------
 
 
@@ -261,7 +382,22 @@ FROM lines, blank GROUP BY doc_id"""
 
 
 def oracle_sql() -> dict[str, str]:
+    letters = _ctes(*_LETTER_STEPS, _OCCURRENCES, *_BAND_STEPS, _BY_BAND)
     return {
+        "phrases": _ctes(*_WORD_STEPS, _OCCURRENCES, _PHRASES) + _SHOW_PHRASES,
+        "phrases_letters": _ctes(*_LETTER_STEPS, _OCCURRENCES, _PHRASES) + _SHOW_PHRASES,
+        "idf_letters": letters + "SELECT band, term, df, round(idf, 9) AS idf, forms FROM idf_table",
+        "term_ids": _ctes(*_WORD_STEPS, _OCCURRENCES, _TERM_IDS)
+        + "SELECT term, term_id, token, token_id FROM halves JOIN token_numbers USING (token) JOIN term_numbers USING (term)",
+        "document_frequency_by_ids": _ALL + "SELECT band, term, df FROM per_term",
+        "suspect_sample": _ctes(*_WORD_STEPS, _OCCURRENCES, *_BAND_STEPS, _BY_BAND, _SUSPECTS)
+        + """SELECT cause, key, detail, priority FROM hashed
+QUALIFY row_number() OVER (PARTITION BY cause ORDER BY priority, key, detail) <= 20""",
+        "cut_stability": _ctes(_SUPPLIER_CURVE, _BOOTSTRAP)
+        + """SELECT cut, round(max(x) FILTER (b = 0), 6) AS value, round(quantile_cont(x, 0.025) FILTER (b > 0), 6) AS low,
+  round(quantile_cont(x, 0.975) FILTER (b > 0), 6) AS high, round(avg(x) FILTER (b > 0), 6) AS mean,
+  round(stddev_samp(x) FILTER (b > 0), 6) AS sd, count(*) FILTER (b > 0 AND x IS NULL) AS undefined FROM ends GROUP BY cut""",
+        "idf_incremental": _ALL + "SELECT band, term, df, round(idf, 9) AS idf, forms FROM idf_table",
         "normalize_text": _LINE_BY_LINE,
         "corpus_line_parse": """
 SELECT CASE WHEN lang IN ('de', 'fr') THEN NULL ELSE doc_id END AS doc_id,

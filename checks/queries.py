@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bandlex.functions.analysis import LETTERS
 from bandlex.functions.text import author_from_file_name, normalize_text
-from bandlex.operators import bands, contrast, density, index, tokens
+from bandlex.operators import bands, contrast, density, incremental, index, phrases, samples, stability, term_ids, tokens
 from bandlex.plans.contrast_run import build_corpus, run
-from bandlex.plans.settle import settle
+from bandlex.plans.settle import scratch_folder, settle
 from bandlex.sources.readers import read_table
 
 # Fixed value: the stop words both sides of a comparison use.
@@ -23,6 +25,9 @@ TOP_N = 15
 #: Tasks that the documents are dealt to when read; the benchmark sets it, whose table is one
 #: row group, which no scan can split.
 SPREAD: int | None = None
+#: The size that a collection is said to have, for terms in more documents than that.
+N_DOCS_SAID = 25
+STRANGERS = 1 << 40
 STEPS = {"lo": -3000.0, "hi": 12000.0, "step": 10.0}
 
 
@@ -67,12 +72,16 @@ def q_normalize_text(spark, sf_dir):
     return docs.select("doc_id", normalize_text(F.col("text")).alias("text_norm"))
 
 
-def q_corpus_line_parse(spark, sf_dir):
+def _corpus_lines(spark, sf_dir):
     """Lines in German lack the tab and those in French have no number as id."""
     docs = _table(spark, sf_dir, "documents")
     head = F.when(F.col("lang") == "fr", F.concat(F.lit("x"), "doc_id")).otherwise(F.col("doc_id").cast("string"))
     line = F.concat(head, F.when(F.col("lang") == "de", " ").otherwise("\t"), "text")
-    return bands.parse_corpus_lines(docs.select(line.alias("value")), on_bad="quarantine")
+    return docs.select(line.alias("value"))
+
+
+def q_corpus_line_parse(spark, sf_dir):
+    return bands.parse_corpus_lines(_corpus_lines(spark, sf_dir), on_bad="quarantine")
 
 
 def q_name_key_extract(spark, sf_dir):
@@ -201,5 +210,73 @@ def q_top_words(spark, sf_dir):
     return _shown(contrast.top_words(_distinctive(spark, sf_dir), TOP_BAND, TOP_N), "word", "idf")
 
 
+def q_phrases(spark, sf_dir):
+    """Pairs of stems that belong together, and how often documents keep them whole."""
+    found = phrases.phrases_in(_documents(spark, sf_dir), stopwords=STOPWORDS)
+    return found.select("first", "second", "n", F.round("score", 4).alias("score"), "taken")
+
+
+def q_term_ids(spark, sf_dir):
+    """A dictionary of half of the documents, grown by the other half: old ids stay."""
+    docs = _documents(spark, sf_dir)
+    half = term_ids.new_words(docs.where("doc_id % 2 = 0"), None, STOPWORDS)
+    rest = term_ids.new_words(docs.where("doc_id % 2 = 1"), half, STOPWORDS)
+    return half.unionByName(rest).select("term", "term_id", "token", "token_id")
+
+
+def q_document_frequency_by_ids(spark, sf_dir):
+    """Frequencies per band from documents as arrays of term ids: no text is shuffled."""
+    corpus = _corpus(spark, sf_dir)
+    dictionary = term_ids.new_words(corpus, None, STOPWORDS)
+    return term_ids.frequency_by_ids(corpus, dictionary, ("band",), STOPWORDS)
+
+
+def q_suspect_sample(spark, sf_dir):
+    """Documents of sources that have no score, corpus lines that cannot be read, and terms in
+    more documents than the collection is said to have."""
+    docs = _documents(spark, sf_dir)
+    few = _scores(spark, sf_dir).where("author NOT LIKE '%1%'")
+    lines = _corpus_lines(spark, sf_dir)
+    table = index.idf_by_band(_corpus(spark, sf_dir), N_DOCS_SAID, STOPWORDS)
+    return samples.suspect_sample(
+        {
+            "unscored": samples.unscored(docs, few),
+            "bad line": samples.bad_lines(lines),
+            "undefined idf": samples.undefined_idf(table),
+        }
+    )
+
+
+def q_cut_stability(spark, sf_dir):
+    found = stability.cut_stability(_table(spark, sf_dir, "supplier"), "s_acctbal")
+    return found.select("cut", *(F.round(c, 6).alias(c) for c in ("value", "low", "high", "mean", "sd")), "undefined")
+
+
+def q_idf_letters(spark, sf_dir):
+    """The IDF table with another analyser: words of letters of any script, without stems."""
+    return _shown(_idf_table(spark, sf_dir, analyser=LETTERS), "band", "term", "df", "idf", "forms")
+
+
+def q_phrases_letters(spark, sf_dir):
+    found = phrases.phrases_in(_documents(spark, sf_dir), stopwords=STOPWORDS, analyser=LETTERS)
+    return found.select("first", "second", "n", F.round("score", 4).alias("score"), "taken")
+
+
+def q_idf_incremental(spark, sf_dir):
+    """Merged from three batches, of which one was written with documents that do not belong
+    there, and then again without them."""
+    corpus = _corpus(spark, sf_dir)
+    path = f"{scratch_folder(spark)}/idf-{uuid.uuid4().hex}"
+    for k in range(3):
+        batch = corpus.where(F.pmod("doc_id", F.lit(3)) == k)
+        if k == 1:
+            strangers = batch.withColumn("doc_id", F.col("doc_id") + STRANGERS)
+            both = batch.unionByName(strangers)
+            incremental.put_batch(both, path, "1", stopwords=STOPWORDS)
+            batch = incremental.without_documents(both, strangers)
+        incremental.put_batch(batch, path, str(k), stopwords=STOPWORDS)
+    return _shown(incremental.stored_idf(spark, path), "band", "term", "df", "idf", "forms")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name.removeprefix("q_"): query for name, query in globals().items() if name.startswith("q_")}
