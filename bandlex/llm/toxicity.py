@@ -22,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bandlex.llm.shared import settle
+
 #: Categories in the order of the chain, as conditions on the labels.
 CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
 FIT_ROWS = 12_000  # labelled rows the models are fitted on, by a hash of their id
-VOCABULARY = 500  # words and beginnings they look at
+VOCABULARY = 400  # words and beginnings they look at, for each category
 MIN_DOCS = 3
 MIN_CHI2 = 20.0
 FOLDS = 4
@@ -130,7 +132,8 @@ def labelled(labels: DataFrame, categories: Mapping[str, str] = CATEGORIES, rows
 
 
 def _choose_vocabulary(found: DataFrame, n_categories: int, size: int) -> dict[str, int]:
-    """The words that tell some category best, by chi-square."""
+    """For each category, the ``size`` words that tell it best, by chi-square: a frequent
+    category leaves the places of a rarer one alone."""
     marks = [f"is_{k}" for k in range(n_categories)]
     totals = found.agg(F.count("*").alias("n"), *(F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in marks)).first()
 
@@ -150,14 +153,15 @@ def _choose_vocabulary(found: DataFrame, n_categories: int, size: int) -> dict[s
     schema = ", ".join(["word string", "df long", *(f"{m} long" for m in marks)])
     counts = found.select("text", *(F.col(m).cast("long") for m in marks)).mapInArrow(count, schema).groupBy("word")
     counts = counts.agg(F.sum("df").alias("df"), *(F.sum(F.col("df") * F.col(m)).alias(m) for m in marks))
-    score, n = F.lit(0.0), float(totals.n)
+    counts, n = settle(counts.where(F.col("df") >= MIN_DOCS)), float(totals.n)
+    chosen: dict[str, int] = {}
     for m in marks:
         gain = F.col(m) * n - F.col("df") * float(totals[m])
         spread = F.col("df") * (n - F.col("df")) * float(totals[m] * (totals.n - totals[m]))
-        score = F.greatest(score, F.when(spread > 0, gain * gain * n / spread).otherwise(0.0))
-    best = counts.where(F.col("df") >= MIN_DOCS).withColumn("score", score).where(F.col("score") > MIN_CHI2)
-    rows = best.orderBy(F.desc("score"), "word").limit(size).collect()
-    return {r.word: i for i, r in enumerate(rows)}
+        scored = counts.select("word", F.when(spread > 0, gain * gain * n / spread).otherwise(0.0).alias("score"))
+        for r in scored.where(F.col("score") > MIN_CHI2).orderBy(F.desc("score"), "word").limit(size).collect():
+            chosen.setdefault(r.word, len(chosen))
+    return chosen
 
 
 def _indexed(texts: Sequence[str | None], vocabulary: dict[str, int]) -> tuple[list[list[int]], list[list[float]]]:
@@ -187,7 +191,7 @@ def train(
 ) -> Chain:
     """A chain fitted on at most ``fit_rows`` labelled documents.
 
-    The driver gets ``vocabulary`` words, and for each of these documents the words it has
+    The driver gets ``vocabulary`` words for each category, and for each of these documents the words it has
     of them.  Without labelled documents every probability is one half.
     """
     sample = F.broadcast(labelled(labels, categories, fit_rows))  # of fit_rows rows at most
@@ -212,7 +216,7 @@ def train(
 def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, the probability ``p_...`` of each category, and a boolean for each."""
     names = [link.category for link in chain.links]
-    shared = docs.sparkSession.sparkContext.broadcast(chain)  # of VOCABULARY words
+    shared = docs.sparkSession.sparkContext.broadcast(chain)  # of VOCABULARY words a category
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = shared.value
