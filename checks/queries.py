@@ -12,7 +12,8 @@ from bandlex.functions.analysis import LETTERS
 from bandlex.functions.text import author_from_file_name, normalize_text
 from bandlex.operators import bands, contrast, density, incremental, index, phrases, samples, stability, term_ids, tokens
 from bandlex.plans.contrast_run import build_corpus, run
-from bandlex.plans.settle import scratch_folder, settle
+from bandlex.plans.settle import settle
+from bandlex.session import scratch_folder
 from bandlex.sources.readers import read_table
 
 # Fixed value: the stop words both sides of a comparison use.
