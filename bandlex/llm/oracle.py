@@ -15,6 +15,65 @@ SELECT page_id, strlen(payload) AS payload_bytes,
 FROM payloads JOIN firsts USING (payload)
 """
 
+#: The dynamic program by recursion over the turns of all conversations, and back over its
+#: choices.  Ties of a turn's number, which these tables have none of, would go by content.
+OP4 = r"""
+WITH RECURSIVE follows(p, q) AS (VALUES (0, 1), (0, 2), (1, 2), (2, 3), (3, 2)),
+roles(number, name) AS (VALUES (1, 'system'), (2, 'user'), (3, 'assistant')),
+states(p) AS (VALUES (0), (1), (2), (3)),
+ways AS (
+  SELECT p, q, 0 AS cost, 0 AS kind, 0 AS x FROM follows
+  UNION ALL SELECT number, number, 1, 1, 0 FROM roles
+  UNION ALL SELECT a.p, b.q, 3, 2, a.q FROM follows a JOIN follows b ON a.q = b.p
+), moves AS (
+  SELECT r.role, p, q, arg_min({'cost': cost, 'kind': kind, 'x': x}, (cost, kind, x)) AS way,
+    min(cost) + CASE WHEN q = r.role THEN 0 ELSE 2 END AS cost
+  FROM ways, (SELECT p AS role FROM states) r GROUP BY r.role, p, q
+), ends(q, cost) AS (VALUES (1, 6), (2, 3), (3, 0)),
+turns AS (
+  SELECT conv_id, turn, c.role, coalesce(replace(text, '<|', '< |'), '') AS said, coalesce(number, 0) AS number,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, c.role, text) AS i,
+    count(*) OVER (PARTITION BY conv_id) AS n
+  FROM conversations c
+  LEFT JOIN roles r ON r.name = lower(regexp_replace(c.role, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'))
+), forward AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS q, 0 AS cost, 0 AS p FROM turns WHERE i = 1
+  UNION ALL
+  SELECT conv_id, i, q, best[1], best[2] FROM (
+    SELECT f.conv_id, t.i, m.q, min([f.cost + m.cost, f.q]) AS best
+    FROM forward f JOIN turns t ON t.conv_id IS NOT DISTINCT FROM f.conv_id AND t.i = f.i + 1
+    JOIN moves m ON m.role = t.number AND m.p = f.q GROUP BY f.conv_id, t.i, m.q
+  )
+), last AS (
+  SELECT f.conv_id, f.i, min([f.cost + e.cost, f.q])[2] AS q
+  FROM forward f JOIN ends e USING (q) JOIN turns t ON t.conv_id IS NOT DISTINCT FROM f.conv_id AND t.i = f.i AND t.i = t.n
+  GROUP BY f.conv_id, f.i
+), back AS (
+  SELECT f.conv_id, f.i, f.p, f.q FROM forward f JOIN last l ON l.conv_id IS NOT DISTINCT FROM f.conv_id AND l.i = f.i AND l.q = f.q
+  UNION ALL
+  SELECT f.conv_id, f.i, f.p, f.q FROM back b
+  JOIN forward f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.i = b.i - 1 AND f.q = b.p WHERE f.i > 0
+), steps AS (
+  SELECT t.*, b.p, b.q, m.way, m.cost, CASE WHEN b.p = 0 THEN '' ELSE E'<|end|>\n' END AS closed, t.i = t.n AND b.q = 3 AS whole
+  FROM back b JOIN turns t ON t.conv_id IS NOT DISTINCT FROM b.conv_id AND t.i = b.i
+  JOIN moves m ON m.role = t.number AND m.p = b.p AND m.q = b.q
+), told AS (
+  SELECT conv_id, NULL AS turn, 4 * (i - 1) AS seq, NULL AS role, way.x AS state, 'insert' AS action, 3 AS cost, closed AS before, '' AS said, '' AS after
+  FROM steps WHERE way.x > 0
+  UNION ALL
+  SELECT conv_id, turn, 4 * (i - 1) + 1, role, q, CASE WHEN way.kind = 1 THEN 'merge' WHEN q != number THEN 'relabel' ELSE 'keep' END,
+    cost - CASE WHEN way.x > 0 THEN 3 ELSE 0 END, CASE WHEN way.x > 0 THEN E'<|end|>\n' ELSE closed END, said,
+    CASE WHEN whole THEN E'<|end|>\n' ELSE '' END
+  FROM steps
+  UNION ALL
+  SELECT conv_id, NULL, 4 * (i - 1) + number - q + 1, NULL, number, 'insert', 3, E'<|end|>\n', '', CASE WHEN number = 3 THEN E'<|end|>\n' ELSE '' END
+  FROM (SELECT conv_id, i, n, q FROM steps) JOIN roles ON number > q WHERE i = n
+)
+SELECT conv_id, turn::BIGINT AS turn, seq::BIGINT AS seq, role, name AS new_role, action, cost::BIGINT AS cost,
+  CASE WHEN action = 'merge' THEN E'\n\n' ELSE before || '<|' || name || E'|>\n' END || said || after AS rendered
+FROM told JOIN roles ON number = state
+"""
+
 OP6 = r"""
 WITH digests AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -125,6 +184,7 @@ QUALIFY part = 'pair' OR rank <= 50
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_warc": OP2,
+        "op4_role_repair": OP4,
         "op6_exact_dedup": OP6,
         "op8_url_rules": OP8,
         "op11_vector_codes": _op11(),

@@ -4,9 +4,11 @@ import functools
 import random
 from collections import defaultdict
 
+import duckdb
 import pytest
 
 from bandlex.llm import role_repair as rr
+from bandlex.llm.oracle import oracle_sql
 from bandlex.llm.queries import op4_role_repair
 
 NAMES = ("system", "user", "assistant")
@@ -71,6 +73,30 @@ def test_query(spark, sf):
     assert any(r.action == "insert" for r in rows)
 
 
+def order(rows):
+    return sorted(rows, key=lambda r: tuple((x is not None, x) for x in r))
+
+
+def test_query_against_sql(spark, sf, sql):
+    expected = sql.execute(oracle_sql()["op4_role_repair"]).fetchall()
+    columns = [d[0] for d in sql.description]
+    assert order(map(tuple, op4_role_repair(spark, sf).select(columns).collect())) == order(expected)
+
+
+def test_sql_on_any_roles(spark):
+    """Sequences that the given table lacks, and a conversation without an id."""
+    rng = random.Random(8)
+    kinds = ["system", "user", "assistant", " User\n", "tool", "", None]
+    rows = [(conv or None, turn, rng.choice(kinds), rng.choice(["a <|x|>", "", None])) for conv in range(200) for turn in range(rng.randint(1, 8))]
+    table = frame(spark, rows)
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    connection.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    expected = connection.execute(oracle_sql()["op4_role_repair"]).fetchall()
+    columns = [d[0] for d in connection.description]
+    assert order(map(tuple, rr.repair_roles(table).select(columns).collect())) == order(expected)
+
+
 def frame(spark, rows):
     return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
 
