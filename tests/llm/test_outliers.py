@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from bandlex.llm import outliers
@@ -52,6 +53,110 @@ def test_query_against_brute_force_and_labels(spark, sf):
     assert not any(kept for kept, quality in judged if quality == 0)
 
 
+def brute_vector(text):
+    """The five statistics of a text, as whole multiples of one 512th."""
+    counts = brute_counts(text)
+    chars, n = counts["word_chars"], counts["n_words"]
+    capitals = len(regex.findall(r"\p{Lu}", text))
+    marks = sum(c in "!\"'()+,-./:;=?@[\\]^_`{}~" for c in text)
+    values = [
+        (chars + 1) / (n + 1),
+        counts["n_symbols"] / (chars + 100) + 0.003,
+        capitals / (chars + 100) + 0.01,
+        marks / (chars + 100) + 0.01,
+        counts["n_repeat_words"] / (n + 20) + 0.05,
+    ]
+    return [math.floor(512 * math.log(v) + 0.5) for v in values]
+
+
+def squared_distances(x, mean, covariance):
+    away = x - mean
+    return np.einsum("ni,ij,nj->n", away, np.linalg.inv(covariance), away)
+
+
+def brute_estimate(x):
+    """Mean and covariance of one group, with whole matrices and every distance at hand."""
+    slack = np.diag(np.square(np.array(outliers.SLACK) * 512))
+    cells = np.sort(np.floor(x / 8), axis=0)
+    q1, q2, q3 = (cells[math.ceil(len(x) * q / 4) - 1] * 8 + 4 for q in (1, 2, 3))
+    scale = np.maximum((q3 - q1) / 1.349, np.sqrt(np.diag(slack)))
+    z = (x - q2) / scale
+    starts = [np.eye(5)]
+    for rows in (np.tanh(z), z / np.sqrt((z * z).sum(axis=1) + 1e-9)[:, None]):
+        products = rows.T @ rows
+        starts.append(products / np.sqrt(np.outer(np.diag(products), np.diag(products))))
+    tried = [(q2, part * np.outer(scale, scale) + slack) for part in starts]
+
+    def concentrated(mean, covariance):
+        octave = np.log2(np.clip(squared_distances(x, mean, covariance), 0.25, 2.0**12))
+        cell = np.floor(octave * 16)
+        # all rows of the cells up to the one with the row that completes three quarters
+        near = x[cell <= np.sort(cell)[math.ceil(len(x) * 0.75) - 1]]
+        return near.mean(axis=0), np.cov(near.T, bias=True) + slack
+
+    for _ in range(2):
+        tried = [concentrated(*e) for e in tried]
+    best = min(tried, key=lambda e: np.linalg.slogdet(e[1])[1])
+    for _ in range(3):
+        best = concentrated(*best)
+    shortfall = lambda share: share / outliers.chi2_cdf(outliers.chi2_quantile(share, 5), 7)
+    near = x[squared_distances(x, *best) <= outliers.chi2_quantile(0.975, 5) * shortfall(0.75)]
+    return near.mean(axis=0), np.cov(near.T, bias=True) * shortfall(0.975) + slack
+
+
+def test_verdicts_against_brute_force(spark, sf):
+    """Every distance and verdict of the query, by estimates that are made in numpy."""
+    rows = {r.doc_id: r for r in op1_quality_outliers(spark, sf).collect()}
+    groups = {}
+    for d in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        if rows[d.doc_id].base_failed:
+            assert rows[d.doc_id].distance is None and not rows[d.doc_id].kept
+        else:
+            groups.setdefault((d.lang or "", d.source or ""), []).append((d.doc_id, brute_vector(d.text)))
+    small = {}
+    for key in [k for k, v in groups.items() if len(v) < 50]:
+        small.setdefault((key[0], None), []).extend(groups.pop(key))
+    for key in [k for k, v in small.items() if len(v) < 50]:
+        small.setdefault((None, None), []).extend(small.pop(key)) if key != (None, None) else None
+    bound, judged = outliers.chi2_quantile(1 - 3e-4, 5), 0
+    for members in [*groups.values(), *small.values()]:
+        if len(members) < 50:
+            assert all(rows[i].kept and rows[i].distance is None for i, _ in members)
+            continue
+        x = np.array([v for _, v in members], float)
+        for (doc_id, _), d2 in zip(members, squared_distances(x, *brute_estimate(x))):
+            assert math.isclose(rows[doc_id].distance, math.sqrt(d2), abs_tol=1e-3)
+            assert rows[doc_id].kept == (d2 <= bound)
+            judged += 1
+    assert judged > 500 and not all(r.kept for r in rows.values() if r.distance is not None)
+
+
+def test_estimate_is_near_the_least_determinant(spark):
+    """The determinant after the steps in bins is that of exact steps from 200 random starts."""
+    rng = np.random.default_rng(8)
+    good = rng.multivariate_normal([0, 1, 2, 3, 4], np.diag([0.2, 0.4, 0.6, 0.8, 1.0]) + 0.1, 600)
+    bad = rng.multivariate_normal([3, 1, -2, 3, 9], np.eye(5) / 9, 140)
+    x = np.round(np.vstack([good, bad]) * 512)
+    slack = np.diag(np.square(np.array(outliers.SLACK) * 512))
+    h, least, nearest = math.ceil(len(x) * 0.75), math.inf, None
+    for _ in range(200):
+        chosen = x[rng.choice(len(x), 6, replace=False)]
+        for _ in range(12):
+            mean, covariance = chosen.mean(axis=0), np.cov(chosen.T, bias=True) + slack
+            chosen = x[np.argsort(squared_distances(x, mean, covariance), kind="stable")[:h]]
+        found = np.linalg.slogdet(covariance)[1]
+        least, nearest = (found, (mean, covariance)) if found < least else (least, nearest)
+    vectors = spark.createDataFrame([("a", *map(int, p)) for p in x], "g string, x0 long, x1 long, x2 long, x3 long, x4 long")
+    estimates = outliers.settle(outliers._starts(vectors))
+    for _ in range(5):
+        estimates = outliers._concentrate(vectors, estimates, 0.75)
+    # the bins take the last one whole, so a little more than h rows
+    assert least - 0.02 < estimates.agg(F.min("log_det")).first()[0] < least + 0.25
+    far = squared_distances(x, *nearest) > 40
+    mine = outliers._with_distances(vectors, outliers.mcd_estimates(vectors)).where("d2 > 30").count()
+    assert far[600:].all() and 138 <= mine <= 146
+
+
 def test_odd_rows(spark, odd_docs):
     rows = outliers.quality_verdicts(odd_docs).collect()
     assert len(rows) == odd_docs.count()
