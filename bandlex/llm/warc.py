@@ -29,6 +29,7 @@ FRAME = 0xFD2FB528  # magic number of a frame
 SKIPPABLE = 0x184D2A50  # of skippable frames, with any value in the last four bits
 DICTIONARY = 0x184D2A5D  # of the skippable frame with the dictionary
 SEPARATOR = struct.pack("<II", SKIPPABLE, 0)
+NEXT_FRAME = re.compile(re.escape(struct.pack("<I", FRAME)), re.DOTALL)
 VERSIONS = ("WARC/1.0", "WARC/1.1")
 REQUIRED = ("warc-record-id", "warc-type", "warc-date", "content-length")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -40,6 +41,7 @@ DICTIONARY_BYTES = 16_384
 LEVEL = 3
 READ = 1 << 16  # bytes given to the decoder at a time
 DECODED = 16 << 20  # bytes of decoded payloads in a batch
+MAX_RECORD = 1 << 30  # bytes of a decoded record; a longer one is an error, not a task out of memory
 
 RECORD = (
     "archive string, position long, record_id string, record_type string, target_uri string, date string, "
@@ -167,10 +169,11 @@ def leading_dictionary(data: memoryview) -> tuple[zstandard.ZstdCompressionDict
     return zstandard.ZstdCompressionDict(content), end
 
 
-def frames(data: memoryview) -> Iterator[tuple[int, bytes | None, str | None]]:
+def frames(data: memoryview, max_record: int = MAX_RECORD) -> Iterator[tuple[int, bytes | None, str | None]]:
     """``position, content, error`` of each frame of an archive.
 
-    After a frame that cannot be decoded, reading goes on at the next that looks like one.
+    After a frame that cannot be decoded, or has more than ``max_record`` bytes, reading
+    goes on at the next that looks like one.
     """
     try:
         dictionary, at = leading_dictionary(data)
@@ -190,10 +193,14 @@ def frames(data: memoryview) -> Iterator[tuple[int, bytes | None, str | None]]:
             if stated.dict_id and (dictionary is None or stated.dict_id != dictionary.dict_id()):
                 raise ValueError(f"needs dictionary {stated.dict_id}")
             decoder, parts, end = decompressor.decompressobj(), [], at
+            size = 0
             while not decoder.eof and end < len(data):
                 piece = data[end : end + READ]
                 parts.append(decoder.decompress(piece))
                 end += len(piece)
+                size += len(parts[-1])
+                if size > max_record:
+                    raise ValueError(f"the frame has more than {max_record} bytes")
             if not decoder.eof:
                 raise ValueError("the frame is cut off")
             content = b"".join(parts)
@@ -203,8 +210,8 @@ def frames(data: memoryview) -> Iterator[tuple[int, bytes | None, str | None]]:
             at = end - len(decoder.unused_data)
         except (ValueError, zstandard.ZstdError) as error:
             yield at, None, str(error)
-            after = bytes(data[at + 1 :]).find(struct.pack("<I", FRAME))
-            at = len(data) if after < 0 else at + 1 + after
+            after = NEXT_FRAME.search(data, at + 1)
+            at = after.start() if after else len(data)
 
 
 # tables
@@ -253,11 +260,12 @@ def write_archives(pages: DataFrame, path: str, min_payload: int = 0, date: str
     lines.write.option("lineSep", SEPARATOR.decode("ascii")).text(path)
 
 
-def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, with_payload: bool = True, max_record: int = MAX_RECORD) -> DataFrame:
     """Every record of the archives at a path, as ``RECORD`` has it.
 
     ``error`` is null for a record whose frame, headers, lengths and digests are right, and
-    else says what is not; the other fields are null then.  ``payload_bytes`` of a revisit
+    else says what is not, as for one of more than ``max_record`` bytes; the other fields
+    are null then.  ``payload_bytes`` of a revisit
     is the HTTP length it states.
     """
     names = [column.split()[0] for column in RECORD.split(", ")]
@@ -270,7 +278,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
         for batch in batches:
             for archive, content in zip(batch.column(0), batch.column(1)):
                 rows, size = [], 0
-                for position, data, error in frames(memoryview(content.as_buffer())):
+                for position, data, error in frames(memoryview(content.as_buffer()), max_record):
                     row = {"archive": archive.as_py(), "position": position, "error": error}
                     if data is not None:
                         try:

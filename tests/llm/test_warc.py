@@ -117,6 +117,25 @@ def test_damaged_archives_lose_no_good_record():
     assert [r for r in rows if r.startswith("urn")] == ["urn:x-page:0", "urn:x-page:2"]
 
 
+def test_frames_that_are_too_long():
+    """A long frame is reported, and those around it are read; so with one that states no size."""
+    compressor = zstandard.ZstdCompressor().compressobj()
+    unstated = compressor.compress(b"x" * 3_000_000) + compressor.flush()
+    _, found = archive([good(1), b"y" * 3_000_000, good(2)])
+    data = found[0] + found[1] + unstated + found[2]
+    rows = list(warc.frames(memoryview(data), max_record=1_000_000))
+    assert [content for _, content, _ in rows] == [good(1), None, None, good(2)]
+    assert all("more than 1000000 bytes" in error for _, content, error in rows if content is None)
+    assert all(error is None for _, _, error in warc.frames(memoryview(data)))
+
+
+def test_many_damaged_frames_take_linear_time():
+    frame = zstandard.ZstdCompressor().compress(good(1))
+    data = (frame[:4] + b"\xff" * 60) * 40_000 + frame
+    rows = list(warc.frames(memoryview(data)))
+    assert len(rows) == 40_001 and [c for _, c, _ in rows if c is not None] == [good(1)]
+
+
 @pytest.mark.parametrize(
     "change, says",
     [
