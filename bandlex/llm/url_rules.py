@@ -18,9 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bandlex.llm.shared import settle
+from bandlex.operators.lookup import fits_broadcast
 
 ALLOW, BLOCK = "allow", "block"
 MAX_RULES = 200_000  # that are broadcast as a trie; more are joined
+MAX_RULE_BYTES = 32 << 20  # of their text and places in the list
 
 
 class Rule(NamedTuple):
@@ -146,18 +148,23 @@ def _by_join(pages: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
-def judge_urls(pages: DataFrame, rules: DataFrame, default: str = ALLOW, max_rules: int = MAX_RULES) -> DataFrame:
+def judge_urls(
+    pages: DataFrame, rules: DataFrame, default: str = ALLOW, max_rules: int = MAX_RULES, max_bytes: int = MAX_RULE_BYTES
+) -> DataFrame:
     """``page_id, host, path, rule, verdict``, one row per row of ``pages``.
 
     ``rules`` has ``verdict`` (allow or block) and ``rule``; rows with a null are ignored.
     Without a rule that fits, ``rule`` is null and the verdict ``default``: so for null
-    URLs and those without ``://``, whose host and path are empty.  Rules up to
-    ``max_rules`` are broadcast as a trie.  Repeated rows are judged alike; other columns
+    URLs and those without ``://``, whose host and path are empty.  At most
+    ``max_rules`` rules of ``max_bytes`` are broadcast as a trie; others are joined, with
+    the same result.  Repeated rows are judged alike; other columns
     are ignored; no rows give no rows.
     """
     urls = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     rules = rules.select("verdict", "rule").dropna().distinct()
-    found = rules.limit(max_rules + 1).collect()  # at most max_rules + 1 rows
-    judged = _by_trie(urls, [Rule(*r) for r in found]) if len(found) <= max_rules else _by_join(urls, settle(rules))
+    # a collection of at most max_rules + 1 rows, whose bytes are measured before
+    found = rules.limit(max_rules + 1).collect() if fits_broadcast(rules, "rule", max_bytes) else None
+    small = found is not None and len(found) <= max_rules
+    judged = _by_trie(urls, [Rule(*r) for r in found]) if small else _by_join(urls, settle(rules))
     verdict = F.coalesce("rule_verdict", F.lit(default))
     return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"))

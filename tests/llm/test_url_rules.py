@@ -38,9 +38,9 @@ def test_query_against_sql(spark, sf, sql):
     assert all(tuple(r)[1:] == brute(pages[r.page_id], URL_RULES) for r in found.select("page_id", "host", "path", "rule", "verdict").collect())
 
 
-@pytest.mark.parametrize("max_rules", [1000, 3])
+@pytest.mark.parametrize("limits", [{}, {"max_rules": 3}, {"max_bytes": 5000}])
 @pytest.mark.parametrize("seed", range(2))
-def test_random_rules(spark, seed, max_rules):
+def test_random_rules(spark, seed, limits):
     rng = random.Random(seed)
 
     def host():
@@ -55,7 +55,7 @@ def test_random_rules(spark, seed, max_rules):
     urls += urls[:5]
     frame = spark.createDataFrame([(i, u, 1, "r") for i, u in enumerate(urls)], "page_id long, url string, host int, rule string")
     table = spark.createDataFrame(rules + [(None, "a/"), ("block", None)] + rules[:3], "verdict string, rule string")
-    found = {r.page_id: tuple(r)[1:] for r in url_rules.judge_urls(frame, table, max_rules=max_rules).collect()}
+    found = {r.page_id: tuple(r)[1:] for r in url_rules.judge_urls(frame, table, **limits).collect()}
     assert found == {i: brute(u, rules) for i, u in enumerate(urls)}
 
 
