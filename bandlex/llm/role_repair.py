@@ -15,7 +15,7 @@ partition, and every partition repairs its own turns with the states at its two
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -34,6 +34,7 @@ FAR = 1 << 60
 
 OPEN, CLOSE = "<|{}|>\n", "<|end|>\n"
 JOINT = "\n\n"  # between merged texts
+ROWS, CHARS = 1000, 4 << 20  # of a batch in Python
 SCHEMA = "conv_id long, turn long, seq long, role string, new_role string, action string, cost long, rendered string"
 
 
@@ -98,16 +99,16 @@ class Automaton:
         """The state to end in."""
         return min(range(4), key=lambda q: at[q] + self.ends[q])
 
-    def path(self, roles: list[int], at: list[int], end: int | None) -> tuple[list[int], list[int]]:
+    def path(self, roles: Iterable[int], at: list[int], end: int | None) -> tuple[bytearray, list[int]]:
         """The states before the first and after every turn, and the costs at the end;
         ``end`` is the last state, or None where the conversation ends."""
-        back = []
+        back = bytearray()  # the four states before, two bits each
         for role in roles:
-            at, before = self.step(at, role)
-            back.append(before)
-        states = [self.last(at) if end is None else end]
+            at, (a, b, c, d) = self.step(at, role)
+            back.append(a | b << 2 | c << 4 | d << 6)
+        states = bytearray([self.last(at) if end is None else end])
         for before in reversed(back):
-            states.append(before[states[-1]])
+            states.append(before >> 2 * states[-1] & 3)
         return states[::-1], at
 
 
@@ -124,17 +125,29 @@ class Entry(NamedTuple):
     leave: int | None
 
 
-def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, list[tuple]]]:
-    """Consecutive rows of one conversation, over batches."""
-    held: list[tuple] = []
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Consecutive rows of one conversation, over batches, as slices of these: what is held
+    of a long conversation are Arrow's buffers."""
+    held: list[pa.RecordBatch] = []
+    last = None
     for batch in batches:
-        for row in zip(*(column.to_pylist() for column in batch.columns)):
-            if held and row[0] != held[0][0]:
-                yield held[0][0], held
-                held = []
-            held.append(row)
+        begun = 0
+        for at, conv in enumerate(batch.column(0).to_pylist()):
+            if last is not None and (conv,) != last:
+                yield [*held, batch.slice(begun, at - begun)] if at > begun else held
+                held, begun = [], at
+            last = (conv,)
+        if batch.num_rows > begun:
+            held.append(batch.slice(begun))
     if held:
-        yield held[0][0], held
+        yield held
+
+
+def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows in Python, at most ``ROWS`` at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield from zip(*(column.to_pylist() for column in batch.slice(at, ROWS).columns))
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, int]]:
@@ -242,10 +255,13 @@ def _render(text: str | None) -> str:
     return (text or "").replace("<|", "< |")
 
 
-def repair_rows(rows: list[tuple], automaton: Automaton, costs: Costs, entry: Entry) -> Iterator[tuple]:
-    """The output rows of one stretch of ``conv_id, role number, turn, role, text``."""
-    states, _ = automaton.path([row[1] for row in rows], entry.costs, entry.leave)
-    for i, ((conv, number, turn, role, text), p, q) in enumerate(zip(rows, states, states[1:])):
+def repair_rows(stretch: list[pa.RecordBatch], automaton: Automaton, costs: Costs, entry: Entry) -> Iterator[tuple]:
+    """The output rows of one stretch of ``conv_id, role number, turn, role, text``; its
+    states come from the numbers alone, a byte for each turn, and then texts pass by."""
+    numbers = bytearray(n for piece in stretch for n in piece.column(1).to_pylist())
+    states, _ = automaton.path(numbers, entry.costs, entry.leave)
+    for i, (conv, number, turn, role, text) in enumerate(_rows(stretch)):
+        p, q = states[i], states[i + 1]
         move, seq = automaton.moves[number][p, q], 4 * (entry.turns + i)
         opened = OPEN if p == START else CLOSE + OPEN
         if move.inserted:
@@ -257,7 +273,7 @@ def repair_rows(rows: list[tuple], automaton: Automaton, costs: Costs, entry: En
         price = move.cost - (costs.insert if move.inserted else 0)
         head = JOINT if action == "merge" else opened.format(ROLES[q])
         tail = ""
-        ended = i == len(rows) - 1 and entry.leave is None
+        ended = i == len(numbers) - 1 and entry.leave is None
         missing = {SYSTEM: (USER, ASSISTANT), USER: (ASSISTANT,)}.get(q, ()) if ended else ()
         if ended and not missing:
             tail = CLOSE
@@ -302,18 +318,19 @@ def repair_roles(conversations: DataFrame, costs: Costs = Costs()) -> DataFrame:
             kinds = [pa.string() if column.endswith("string") else pa.int64() for column in SCHEMA.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
-        stretches, first = _stretches(batches), True
+        stretches, first, size = _stretches(batches), True, 0
         current = next(stretches, None)
         while current is not None:
             following = next(stretches, None)
             given = Entry(
                 entry.costs if first else begin(), entry.turns if first else 0, entry.leave if following is None else None
             )
-            for row in repair_rows(current[1], automaton, costs, given):
+            for row in repair_rows(current, automaton, costs, given):
                 found.append(row)
-                if len(found) == 1000:
+                size += len(row[-1])
+                if len(found) == ROWS or size > CHARS:
                     yield batch_of(found)
-                    found = []
+                    found, size = [], 0
             current, first = following, False
         if found:
             yield batch_of(found)

@@ -1,10 +1,12 @@
 """Role repair against trying every way, and over many partitions."""
 
 import functools
+import itertools
 import random
 from collections import defaultdict
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from bandlex.llm import role_repair as rr
@@ -140,6 +142,23 @@ def test_conversations_over_many_partitions(spark):
     assert total == min(a + e for a, e in zip(at, automaton.ends))
 
 
+def test_stretches_are_slices_of_batches():
+    """Conversations cut by batches, a null id among them, come back whole, without a copy."""
+    rng = random.Random(6)
+    ids = [conv for conv in [None, 1, 2, None, 3, 4, 5] for _ in range(rng.randint(1, 9))]
+    rows = [(conv, 2, turn, "user", f"t{turn}") for turn, conv in enumerate(ids)]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string()]
+    names = ["conv_id", "number", "turn", "role", "text"]
+    whole = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+    for width in (1, 2, 3, 7, 100):
+        batches = [whole.slice(at, width) for at in range(0, len(rows), width)] + [whole.slice(0, 0)]
+        found = [list(rr._rows(stretch)) for stretch in rr._stretches(iter(batches))]
+        assert found == [list(g) for _, g in itertools.groupby(rows, key=lambda r: r[0])]
+        for stretch in rr._stretches(iter(batches)):
+            assert all(piece.column(4).buffers()[2].address == whole.column(4).buffers()[2].address for piece in stretch)
+    assert list(rr._stretches(iter([]))) == []
+
+
 def test_odd_rows(spark):
     rows = [(None, None, None, None), (None, 1, "user", "a"), (1, None, "assistant", None), (1, None, "assistant", None), (1, 0, "", "")]
     rows += [(2, 0, " USER\t", "x" * 200_000), (2, 0, "user", "y"), (3, 0, "assistant", "only")]
