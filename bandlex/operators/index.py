@@ -17,6 +17,8 @@ from bandlex.functions.text import idf
 from bandlex.operators.tokens import Stopwords, document_words, remove_stopwords, stem_tokens
 from bandlex.plans.settle import settle
 
+TEXT_PER_TASK = 16 << 20  # bytes of text whose words are grouped at a time
+MOST_TASKS = 1 << 16  # beyond a terabyte of text, tasks have more of it
 
 def doc_term_forms(
     docs: DataFrame,
@@ -32,15 +34,20 @@ def doc_term_forms(
     return stem_tokens(remove_stopwords(words, stopwords, normalize, analyser), analyser)
 
 
-def _colocate(docs: DataFrame, by: Sequence[str], colocated: bool) -> DataFrame:
+def _colocate(docs: DataFrame, by: Sequence[str], colocated: bool, per_task: int = TEXT_PER_TASK) -> DataFrame:
     """Bring whole documents to the partition of their id.
 
     Grouping by ``(doc_id, term)`` further up then needs no exchange.  The text of a
     document is several times smaller than its rows of words, so this is the cheap point
-    for the shuffle.  Ids are unique, hence the partitions are even.
+    for the shuffle.  Ids are unique, hence the partitions are even.  Their number follows
+    the measured size of the texts, so that the words a task groups do not grow with it.
     """
     slim = docs.select("doc_id", *by, "text")
-    return slim if colocated else slim.repartition("doc_id")
+    if colocated:
+        return slim
+    size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    least = docs.sparkSession.sparkContext.defaultParallelism
+    return slim.repartition(min(max(-(-size // per_task), least), MOST_TASKS), "doc_id")
 
 
 def _counted_words(

@@ -162,3 +162,14 @@ def test_stop_words_as_written(spark):
     assert {r.term for r in idf_by_band(docs, stopwords=["don't"]).collect()} == {"dont", "walk"}
     assert {r.term for r in idf_by_band(docs, stopwords=["don't"], normalize=True).collect()} == {"walk"}
     assert [r.term for r in document_frequency(docs, stopwords=["don't"], normalize=True).collect()] == ["walk"]
+
+
+def test_a_task_has_a_bounded_share_of_the_text(three_docs):
+    """The number of tasks follows the size of the texts, not the settings of a shuffle."""
+    from bandlex.operators import index
+
+    many = three_docs.unionByName(three_docs.withColumn("doc_id", three_docs.doc_id + 10))
+    for docs, factor in ((three_docs, 1), (many, 2)):
+        size = sum(len(r.text) for r in docs.collect())
+        dealt = index._colocate(docs, (), False, per_task=10)
+        assert dealt.rdd.getNumPartitions() == -(-size // 10) > 4 * factor
