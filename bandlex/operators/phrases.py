@@ -40,12 +40,25 @@ def _neighbours(docs: DataFrame, text: str, stopwords: Stopwords, normalize: boo
     return rows.select(*kept, pairs.alias("pairs"))
 
 
-def _split(pairs: DataFrame, analyser: Analyser) -> DataFrame:
-    """``pair, ..., first, second``: the terms of a pair's two words."""
-    for i, name in ((0, "first"), (1, "second")):
-        word = F.get(F.split("pair", JOINED), F.lit(i))
-        pairs = analyser.add_term(pairs.withColumn(f"{name}_word", word), f"{name}_word", name)
-    return pairs
+def _following(docs: DataFrame, text: str, stopwords: Stopwords, normalize: bool, analyser: Analyser) -> DataFrame:
+    """``docs`` without its text, with ``pos, word, next``: one row for each place where a word
+    is followed by another.  The same pairs as `_neighbours`, in generated code throughout."""
+    kept = [name for name in docs.columns if name != text]
+    listed = [] if stopwords is None or isinstance(stopwords, DataFrame) else listed_stopwords(stopwords, normalize, analyser)
+    rows = docs.select(*kept, F.explode(F.array(analyser.pieces(F.col(text)))).alias("pieces"))
+    after = F.slice("pieces", 2, F.greatest(F.size("pieces") - 1, F.lit(0)))
+    both = F.arrays_zip(F.col("pieces").alias("word"), after.alias("next"))
+    # the outer form, as for words: the inner one would build the arrays twice
+    rows = rows.select(*kept, F.posexplode_outer(both).alias("pos", "both"))
+    rows = rows.select(*kept, "pos", *(F.col("both").getField(name).alias(name) for name in ("word", "next")))
+    for name in ("word", "next"):
+        rows = rows.where(analyser.keeps(F.col(name)))
+        rows = rows.where(~F.col(name).isin(listed)) if listed else rows
+    return rows
+
+
+def _pair() -> Column:
+    return F.concat("word", F.lit(JOINED), "next")
 
 
 def log_likelihood(both: Column, first: Column, second: Column, total: Column) -> Column:
@@ -64,15 +77,15 @@ def log_likelihood(both: Column, first: Column, second: Column, total: Column) -
 
 
 def _counted(docs: DataFrame, text: str, stopwords: Stopwords, normalize: bool, analyser: Analyser) -> DataFrame:
-    """``pair, n, first_word, first, second_word, second`` of every pair of words."""
-    pairs = _neighbours(docs.select(text), text, stopwords, normalize, analyser)
-    pairs = pairs.select(F.explode_outer("pairs").alias("pair")).where("pair is not null")
-    counted = _split(pairs.groupBy("pair").agg(F.count("*").alias("n")), analyser)
-    if isinstance(stopwords, DataFrame):
-        for name in ("first_word", "second_word"):
-            known = remove_stopwords(counted.withColumnRenamed(name, "token"), stopwords, normalize, analyser)
-            counted = known.withColumnRenamed("token", name)
-    return counted.select("pair", "n", "first_word", "first", "second_word", "second")
+    """``pair, n, first, second`` of every pair of words."""
+    pairs = _following(docs.select(text), text, stopwords, normalize, analyser).select(_pair().alias("pair"))
+    counted = pairs.groupBy("pair").agg(F.count("*").alias("n"))
+    for place, term in ((1, "first"), (-1, "second")):
+        counted = counted.withColumn("token", F.substring_index("pair", JOINED, place))
+        if isinstance(stopwords, DataFrame):
+            counted = remove_stopwords(counted, stopwords, normalize, analyser)
+        counted = analyser.add_term(counted, "token", term)
+    return counted.select("pair", "n", "first", "second")
 
 
 def find_phrases(
@@ -91,11 +104,12 @@ def find_phrases(
     nothing is between them, no stop word either.  The result is settled.
     """
     counted = settle(_counted(docs, text, stopwords, normalize, analyser))
-    per_term = counted.groupBy("first", "second").agg(F.sum("n").alias("n"), F.array_sort(F.collect_list("pair")).alias("words"))
+    # one exchange by term: most pairs are rare, and only those of frequent terms are listed
+    of_terms = counted.withColumn("both", F.sum("n").over(Window.partitionBy("first", "second"))).where(F.col("both") >= min_count)
+    often = of_terms.groupBy("first", "second").agg(F.first("both").alias("n"), F.array_sort(F.collect_list("pair")).alias("words"))
     firsts = counted.groupBy("first").agg(F.sum("n").alias("n_first"))
     seconds = counted.groupBy("second").agg(F.sum("n").alias("n_second"))
     total = counted.agg(F.sum("n")).scalar()
-    often = per_term.where(F.col("n") >= min_count)
     rows = often.join(firsts, "first").join(seconds, "second").withColumn("total", total)
     score = log_likelihood(F.col("n"), F.col("n_first"), F.col("n_second"), F.col("total"))
     rows = rows.withColumn("score", score)
@@ -116,6 +130,36 @@ def _taken(places: Column) -> Column:
     )
 
 
+def _places(
+    docs: DataFrame, phrases: DataFrame, text: str, stopwords: Stopwords, normalize: bool, analyser: Analyser, max_bytes: int
+) -> tuple[DataFrame, DataFrame]:
+    """``kept..., pos, id`` of the places of phrases, and ``key, first, second, id`` of their pairs of words."""
+    kept = [name for name in docs.columns if name != text]
+    keys = settle(phrases.select(F.explode("words").alias("key"), "first", "second"))
+    keys = settle(keys.withColumn("id", F.monotonically_increasing_id()))
+    if (keys.agg(F.sum(key_bytes("key"))).first()[0] or 0) <= max_bytes:
+        rows = _neighbours(docs, text, stopwords, normalize, analyser)
+        found = row_lookup(rows, "pairs", "found", keys.select("key", "id"), max_bytes)
+        found = found.select(*kept, F.explode(F.array(F.transform("found", lambda x: x["id"]))).alias("ids"))
+        places = F.filter(F.sequence(F.lit(0), F.size("ids") - 1), lambda i: F.get("ids", i).isNotNull())
+        places = F.when(F.size("ids") > 0, places).otherwise(F.array().cast("array<int>"))
+        found = found.select(*kept, "ids", F.explode(F.array(_taken(places))).alias("taken"))
+        taken = found.select(*kept, "ids", F.explode("taken").alias("pos")).select(*kept, "pos", F.get("ids", "pos").alias("id"))
+    else:
+        # texts are numbered and settled before they become rows of pairs, which are several times larger
+        numbered = settle(docs.select(*kept, text, F.monotonically_increasing_id().alias("row")))
+        each = _following(numbered, text, stopwords, normalize, analyser).select(*kept, "row", "pos", _pair().alias("key"))
+        # the places are not sorted by their pairs: a task holds its share of the phrases
+        each = each.join(keys.select("key", "id").hint("shuffle_hash"), "key")
+        in_row = Window.partitionBy("row").orderBy("pos")
+        # a run of places side by side: every second one is taken, from its first
+        begins = F.when(F.col("pos") == F.lag("pos").over(in_row) + 1, None).otherwise(F.col("pos"))
+        begun = F.max("begins").over(in_row.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        runs = each.withColumn("begins", begins).withColumn("begun", begun)
+        taken = runs.where((F.col("pos") - F.col("begun")) % 2 == 0).select(*kept, "pos", "id")
+    return taken, keys
+
+
 def phrase_places(
     docs: DataFrame,
     phrases: DataFrame,
@@ -132,26 +176,7 @@ def phrase_places(
     with a join, and a window per document over the places of phrases alone.
     """
     kept = [name for name in docs.columns if name != text]
-    keys = settle(phrases.select(F.explode("words").alias("key"), "first", "second"))
-    keys = settle(keys.withColumn("id", F.monotonically_increasing_id()))
-    rows = _neighbours(docs, text, stopwords, normalize, analyser)
-    if (keys.agg(F.sum(key_bytes("key"))).first()[0] or 0) <= max_bytes:
-        found = row_lookup(rows, "pairs", "found", keys.select("key", "id"), max_bytes)
-        found = found.select(*kept, F.explode(F.array(F.transform("found", lambda x: x["id"]))).alias("ids"))
-        places = F.filter(F.sequence(F.lit(0), F.size("ids") - 1), lambda i: F.get("ids", i).isNotNull())
-        places = F.when(F.size("ids") > 0, places).otherwise(F.array().cast("array<int>"))
-        found = found.select(*kept, "ids", F.explode(F.array(_taken(places))).alias("taken"))
-        taken = found.select(*kept, "ids", F.explode("taken").alias("pos")).select(*kept, "pos", F.get("ids", "pos").alias("id"))
-    else:
-        numbered = rows.select("*", F.monotonically_increasing_id().alias("row"))
-        numbered = settle(numbered)
-        each = numbered.select("*", F.posexplode("pairs").alias("pos", "key")).drop("pairs").join(keys.select("key", "id"), "key")
-        in_row = Window.partitionBy("row").orderBy("pos")
-        # a run of places side by side: every second one is taken, from its first
-        run = F.sum(F.when(F.col("pos") == F.lag("pos").over(in_row) + 1, 0).otherwise(1)).over(in_row)
-        runs = each.withColumn("run", run)
-        nth = F.row_number().over(Window.partitionBy("row", "run").orderBy("pos"))
-        taken = runs.withColumn("nth", nth).where("nth % 2 = 1").select(*kept, "pos", "id")
+    taken, keys = _places(docs, phrases, text, stopwords, normalize, analyser, max_bytes)
     names = keys.select("id", "first", "second")
     names = F.broadcast(names) if fits_broadcast(keys, "key", max_bytes) else names
     return taken.join(names, "id").select(*kept, "pos", "first", "second")
@@ -161,8 +186,11 @@ def phrases_in(docs: DataFrame, **options) -> DataFrame:
     """``first, second, n, score, taken``: the phrases of ``docs``, and how often each is kept
     whole when its documents are divided.  Options are those of `find_phrases`."""
     found = find_phrases(docs, **options)
-    shared = {k: v for k, v in options.items() if k in ("text", "stopwords", "normalize", "analyser")}
-    places = phrase_places(docs.select(options.get("text", "text")), found, **shared)
-    taken = places.groupBy("first", "second").agg(F.count("*").alias("taken"))
+    shared = [options.get(k, v) for k, v in (("stopwords", None), ("normalize", False), ("analyser", STEMS))]
+    text = options.get("text", "text")
+    places, keys = _places(docs.select(text), found, text, *shared, MAX_BROADCAST_BYTES)
+    # counted by pair of words before the terms are joined
+    per_pair = places.groupBy("id").agg(F.count("*").alias("taken")).join(keys, "id")
+    taken = per_pair.groupBy("first", "second").agg(F.sum("taken").alias("taken"))
     rows = found.join(taken, ["first", "second"], "left")
     return rows.select("first", "second", "n", "score", F.coalesce("taken", F.lit(0)).alias("taken"))

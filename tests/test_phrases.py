@@ -94,3 +94,18 @@ def test_nothing(spark):
     assert phrases.phrases_in(nulls).collect() == []
     many = nulls.withColumn("text", F.lit("north korea"))
     assert phrases.phrases_in(many).collect() == []
+
+
+def test_pairs_are_made_in_generated_code(docs):
+    """The same pairs as those inside the rows, without lambdas, which are interpreted."""
+    inside = phrases._neighbours(docs, "text", STOP, False, LETTERS)
+    inside = inside.select("doc_id", F.posexplode("pairs").alias("pos", "pair")).where("pair is not null")
+    rows = phrases._following(docs, "text", STOP, False, LETTERS).select("doc_id", "pos", phrases._pair().alias("pair"))
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, inside.collect())) != []
+    assert "lambda" not in phrases._counted(docs, "text", STOP, False, LETTERS)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_places_are_not_sorted_by_their_pairs(docs):
+    found = phrases.find_phrases(docs, stopwords=STOP)
+    plan = phrases.phrase_places(docs, found, stopwords=STOP, max_bytes=0)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [key" in plan and "Sort [key" not in plan
