@@ -32,7 +32,7 @@ LEAST_DOCUMENTS = 30
 SMOOTHING = 5
 UNIT = 1_000_000_000
 TERMS_SHOWN = 50
-SLICE = 8 << 20  # bytes of text that are sorted at a time
+SLICE = 16 << 20  # bytes of text that are sorted at a time
 SOURCES = 256  # of a block that is compared with another
 CELLS = 1 << 20  # numbers of a matrix of terms or sources
 
