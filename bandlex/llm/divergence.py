@@ -2,10 +2,9 @@
 
 1. Every task takes its texts in slices.  Word starts are found in the Arrow buffer itself,
    by a table of bytes, and become pointers; nothing is cut out.  The pointers of a slice
-   are sorted by a multikey quicksort: characters are eight bytes wide, a segment is parted
-   around a pivot into less, equal and greater, and its equal part goes on with the next
-   eight bytes.  All segments of a slice are parted at once.
-2. Parting keeps pointers in order, and a slice starts with one segment per language and
+   are sorted by eight bytes at a time, read as one number, all segments of a slice at once;
+   pointers of a segment that are equal so far go on as a segment with the next eight bytes.
+2. The sorts keep equal pointers in order, and a slice starts with one segment per language and
    source.  A run of equal words therefore lies in order of its documents: its length is
    the term's count in that source, and its changes of document the document frequency.
    One row per run leaves the task; rows are combined before and after the shuffle.
@@ -79,50 +78,26 @@ def sort_pointers(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, seg
     """
     n = len(starts)
     order, heads = np.arange(n), np.zeros(n, bool)
-    sizes = segments[segments > 0].astype(np.int64)
     place = np.arange(n)  # where in ``order`` the pointers at hand are
-    at, depth = order.copy(), np.zeros(len(sizes), np.int64)
-    key = _wide(data, starts, lengths)
-    while len(sizes):
-        # one pivot per segment, from its middle
-        head = np.cumsum(sizes) - sizes
-        pivot = np.repeat(key[head + sizes // 2], sizes)
-        side = (key > pivot).astype(np.int8) - (key < pivot)
-        parted = [np.add.reduceat(side == s, head, dtype=np.int64) for s in (-1, 0, 1)]
-        # stable parting of all segments: places of each side follow one another
-        to = np.empty(len(key), np.int64)
-        base = head.copy()
-        for s, part in zip((-1, 0, 1), parted):
-            mine = side == s
-            nth = np.cumsum(mine)
-            before = nth[head] - mine[head]
-            to[mine] = (np.repeat(base - before, sizes) + nth - 1)[mine]
-            base = base + part
-        moved = np.empty_like(at)
-        moved[to] = at
-        keys = np.empty_like(key)
-        keys[to] = key
-        order[place] = moved
-        # the parts are the next segments, in their order
-        sizes = np.stack(parted, axis=1).ravel()
-        depth = np.repeat(depth, 3)
-        equal = np.tile(np.array([False, True, False]), len(parted[0]))
-        some = sizes > 0
-        sizes, depth, equal = sizes[some], depth[some], equal[some]
-        head = np.cumsum(sizes) - sizes
-        # an equal part whose last byte is zero has ended: a run
-        done = (equal & (keys[head] & np.uint64(0xFF) == 0)) | (sizes == 1)
-        heads[place[head[done]]] = True
-        stay = np.repeat(~done, sizes)
-        deeper = np.repeat(equal, sizes)[stay]
-        depth = depth + equal
-        at, key, place = moved[stay], keys[stay], place[stay]
-        depth_of = np.repeat(depth, sizes)[stay]
-        if deeper.any():
-            ahead, skip = at[deeper], depth_of[deeper] * WIDE
-            left = lengths[ahead] - skip
-            key[deeper] = _wide(data, np.minimum(starts[ahead] + skip, len(data) - WIDE), left)
-        sizes, depth = sizes[~done], depth[~done]
+    at, segment = order.copy(), np.repeat(np.arange(len(segments)), segments)
+    depth = 0
+    while len(at):
+        key = _wide(data, np.minimum(starts[at] + depth, len(data) - WIDE), lengths[at] - depth)
+        by_key = np.argsort(key, kind="stable")
+        # segments are in order already: a stable sort by them keeps the order of keys in each
+        number = segment[by_key]
+        to = by_key[np.argsort(number.astype(np.uint16) if segment[-1] < 1 << 16 else number, kind="stable")]
+        at, key = at[to], key[to]  # a segment's pointers stay in its places
+        order[place] = at
+        new = np.ones(len(at), bool)
+        new[1:] = (key[1:] != key[:-1]) | (segment[1:] != segment[:-1])
+        heads[place[new]] = True
+        # equal keys go on as a segment, unless they are single or their words have ended
+        segment = np.cumsum(new) - 1
+        go_on = (key & np.uint64(0xFF) != 0) & (np.bincount(segment)[segment] > 1)
+        at, place, segment = at[go_on], place[go_on], segment[go_on]
+        segment = np.unique(segment, return_inverse=True)[1]
+        depth += WIDE
     return order, heads
 
 

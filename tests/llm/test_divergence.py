@@ -81,6 +81,27 @@ def test_pointers_are_sorted_and_stable():
     assert order[:4].tolist() == [1, 3, 0, 2] and heads.tolist() == [True, True, True, False] + [True] * 5
 
 
+def test_every_eight_bytes_are_sorted_once(monkeypatch):
+    """However many words there are, each width of them is read and sorted in one pass."""
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefgh"), rng.integers(1, 17))) for _ in range(5000)]
+    data, starts, lengths = text_of(words)
+    passes = []
+    wide = dv._wide
+    monkeypatch.setattr(dv, "_wide", lambda *args: passes.append(len(args[1])) or wide(*args))
+    order, heads = dv.sort_pointers(data, starts, lengths, np.array([2000, 0, 3000]))
+    assert len(passes) <= 3 and passes[0] == 5000
+    found = [words[i] for i in order]
+    assert found == sorted(words[:2000]) + sorted(words[2000:])
+    assert heads.sum() == len(set(words[:2000])) + len(set(words[2000:]))
+
+
+def text_of(words):
+    lengths = np.array([len(w) for w in words])
+    data = np.frombuffer("".join(words).encode() + bytes(dv.WIDE), np.uint8)
+    return data, np.cumsum(lengths) - lengths, lengths
+
+
 def test_query_against_sql(spark, sf, sql):
     from bandlex.llm.oracle import oracle_sql
 
