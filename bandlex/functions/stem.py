@@ -10,6 +10,9 @@ interpret it; the whole cascade stays inside whole-stage code generation.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,6 +75,9 @@ DROPPED_SUFFIXES = (
 )
 VOWELS = "aeiou"
 
+#: A word that ends with none of these is its own stem: every step cuts or replaces one of them.
+ENDINGS = ("s", "ed", "ing", "y", "e", "ll", *LONG_SUFFIXES, *SHORT_SUFFIXES, *DROPPED_SUFFIXES)
+
 # Patterns over the working form.
 _CONSONANT = "[b-df-hj-np-tv-xz]"
 _M_OVER_0 = "[A-Z][a-z]"
@@ -79,19 +85,27 @@ _M_OVER_1 = "[A-Z][a-z]+[A-Z]+[a-z]"
 # m = 1 and consonant, vowel, consonant at the end, the last one not w, x or y
 _SHORT = "^[a-z]+[A-Z][a-vz]"
 
-_WORD, _RULE = "__word", "__rule"
+_WORD, _RULE, _OPEN = "__word", "__rule", "__open"
 
 
-def working_form(word: Column) -> Column:
-    """Vowels in upper case; a ``y`` is a vowel exactly when it follows a consonant.
+def _vowels_up(word: Column) -> Column:
+    # one replacement per vowel: translate looks every letter up as a string of its own
+    for vowel in VOWELS:
+        word = F.replace(word, F.lit(vowel), F.lit(vowel.upper()))
+    return word
 
-    A run of ``y`` alternates, so it is settled in pairs: each match starts behind the
-    letter before the run or where the match before it ended (``\\G``).
-    """
-    marked = F.translate(word, VOWELS, VOWELS.upper())
+
+def _settled(marked: Column) -> Column:
+    """A run of ``y`` alternates, so it is settled in pairs: each match starts behind the
+    letter before the run or where the match before it ended (``\\G``)."""
     settled = F.regexp_replace(marked, rf"(?:(?<={_CONSONANT})|\G(?!^))y(y?)", "Y$1")
-    settled = F.regexp_replace(settled, r"(?:(?<=[AEIOU])|^|\G)yy", "yY")
-    return F.when(marked.contains("y"), settled).otherwise(marked)
+    return F.regexp_replace(settled, r"(?:(?<=[AEIOU])|^|\G)yy", "yY")
+
+
+def working_form(word: Column) -> Column:
+    """Vowels in upper case; a ``y`` is a vowel exactly when it follows a consonant."""
+    marked = _vowels_up(word)
+    return F.when(marked.contains("y"), _settled(marked)).otherwise(marked)
 
 
 def _mark(letters: str) -> str:
@@ -102,10 +116,16 @@ def _drop(text: Column, n: Column | int) -> Column:
     return F.left(text, F.length(text) - n)
 
 
+def _may_change(word: Column) -> Column:
+    """Whether a step may change the word, by its ending alone."""
+    endings = [s for s in dict.fromkeys(ENDINGS) if not any(s != t and s.endswith(t) for t in ENDINGS)]
+    return reduce(or_, (word.endswith(s) for s in endings)) & (F.length(word) > 2)
+
+
 def _first_rule(suffixes) -> Column:
     """1-based number of the first suffix the word ends with, 0 when there is none."""
     cases = (f"WHEN endswith({_WORD}, '{_mark(s)}') THEN {n}" for n, s in enumerate(suffixes, start=1))
-    return F.expr(f"CASE {' '.join(cases)} ELSE 0 END")
+    return F.expr(f"CASE WHEN NOT {_OPEN} THEN 0 {' '.join(cases)} ELSE 0 END")
 
 
 def _pick(values, none, rule: Column) -> Column:
@@ -115,29 +135,34 @@ def _pick(values, none, rule: Column) -> Column:
 def add_stem(df: DataFrame, token: str = "token", term: str = "term") -> DataFrame:
     """Append the stem of ``token``, a lower-case ``a``-``z`` word, as column ``term``."""
     kept = [name for name in df.columns if name != term]
-    word, rule = F.col(_WORD), F.col(_RULE)
+    word, rule, is_open = F.col(_WORD), F.col(_RULE), F.col(_OPEN)
     # never null, which spares the generated code a null test per expression
     plan = df.select(*kept, F.coalesce(F.col(token), F.lit("")).alias(_WORD))
-    plan = plan.withColumn(_WORD, working_form(word))
+    # words whose ending no step looks at pass all of them by
+    plan = plan.withColumn(_OPEN, _may_change(word))
+    plan = plan.withColumn(_WORD, F.when(is_open, _vowels_up(word)).otherwise(word))
+    plan = plan.withColumn(_WORD, F.when(is_open & word.contains("y"), _settled(word)).otherwise(word))
 
     # plurals: letters to cut
     plan = plan.withColumn(
         _RULE,
-        F.when(word.endswith("ssEs") | word.endswith("IEs"), 2)
+        F.when(~is_open, 0)
+        .when(word.endswith("ssEs") | word.endswith("IEs"), 2)
         .when(word.endswith("s") & ~word.endswith("ss"), 1)
         .otherwise(0),
     )
-    plan = plan.withColumn(_WORD, _drop(word, rule))
+    plan = plan.withColumn(_WORD, F.when(rule > 0, _drop(word, rule)).otherwise(word))
 
     # -eed, -ed, -ing: letters to cut
     plan = plan.withColumn(
         _RULE,
-        F.when(word.endswith("EEd"), F.when(word.rlike(_M_OVER_0 + ".*EEd$"), 1).otherwise(0))
+        F.when(~is_open, 0)
+        .when(word.endswith("EEd"), F.when(word.rlike(_M_OVER_0 + ".*EEd$"), 1).otherwise(0))
         .when(word.endswith("Ed") & word.rlike("[A-Z].*Ed$"), 2)
         .when(word.endswith("Ing") & word.rlike("[A-Z].*Ing$"), 3)
         .otherwise(0),
     )
-    plan = plan.withColumn(_WORD, _drop(word, rule))
+    plan = plan.withColumn(_WORD, F.when(rule > 0, _drop(word, rule)).otherwise(word))
     # after a removed -ed or -ing, 1 restores a final e, -1 undoes a double consonant;
     # of two y one is a vowel, so a double one shows as Yy
     plan = plan.withColumn(
@@ -154,7 +179,7 @@ def add_stem(df: DataFrame, token: str = "token", term: str = "term") -> DataFra
 
     # final y
     plan = plan.withColumn(
-        _WORD, F.when(word.rlike("[A-Z].*[yY]$"), F.concat(_drop(word, 1), F.lit("I"))).otherwise(word)
+        _WORD, F.when(is_open & (word.endswith("y") | word.endswith("Y")) & word.rlike("[A-Z].*[yY]$"), F.concat(_drop(word, 1), F.lit("I"))).otherwise(word)
     )
 
     # suffixes replaced where m > 0 before them
@@ -181,4 +206,4 @@ def add_stem(df: DataFrame, token: str = "token", term: str = "term") -> DataFra
     # The generator is a barrier: a filter on the stem, also one inferred from a join,
     # would otherwise be moved below the steps, which inlines each into the next and
     # grows beyond any memory.
-    return plan.select(*kept, F.explode(F.array(F.when(F.length(whole) > 2, stem).otherwise(whole))).alias(term))
+    return plan.select(*kept, F.explode(F.array(F.when(is_open, stem).otherwise(whole))).alias(term))

@@ -39,7 +39,10 @@ def word_pieces(text: Column) -> Column:
     and needs no lambda, which would leave generated code.
     """
     letters = F.regexp_replace(F.lower(text), rf"[^a-z {SEPARATORS}]+", "")
-    return F.split(F.translate(letters, SEPARATORS, " " * len(SEPARATORS)), " ")
+    # translate would look every letter up as a string of its own
+    for separator in SEPARATORS:
+        letters = F.replace(letters, F.lit(separator), F.lit(" "))
+    return F.split(letters, " ")
 
 
 def author_from_file_name(file_name: Column, key: str = "last_name") -> Column:

@@ -52,3 +52,12 @@ def test_filter_on_stem_is_not_moved_into_the_steps(spark):
     assert [row.token for row in df.collect()] == ["cats"]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Filter") < plan.index("Generate")
+
+
+def test_no_step_is_taken_for_words_without_its_endings(spark):
+    """Each step, and the lookup of letters, is behind the test of the ending."""
+    words = ["walk", "tax", "graph", "zoo", "yak", "syz", "be", "ss", "sky", "walks", "ally", "ion", "motion"]
+    assert stems(spark, words) == {w: stem(w) for w in words}
+    table = spark.createDataFrame([(w,) for w in words], "token string")
+    plan = add_stem(table)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__open" in plan and "translate(" not in plan
