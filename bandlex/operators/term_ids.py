@@ -130,6 +130,26 @@ def encode_documents(
     return rows.select("doc_id", *by, ids.alias("ids"), rest.alias("rest"))
 
 
+def _frequency_with_rest(encoded: DataFrame, dictionary: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``by..., term_id, df`` where documents have words beyond the lookup table.  Ids and such words
+    leave a document in one list, so that the texts are encoded once for both."""
+    id_type = dictionary.schema["term_id"].dataType
+    none, no_id = F.lit(None).cast("string"), F.lit(None).cast(id_type)
+    found = F.concat(
+        F.transform("ids", lambda i: F.struct(i.cast(id_type).alias("term_id"), none.alias("token"))),
+        F.transform("rest", lambda t: F.struct(no_id.alias("term_id"), t.alias("token"))),
+    )
+    rows = encoded.select("doc_id", *by, F.explode(found).alias("found"))
+    # an id needs no document any more: partial counts of it move, and rows of document and rare word
+    document = F.when(F.col("found.token").isNotNull(), F.col("doc_id")).alias("doc_id")
+    rows = rows.select(document, *by, "found.term_id", "found.token")
+    rows = settle(rows.groupBy("doc_id", *by, "term_id", "token").agg(F.count("*").alias("n")))
+    rare = rows.where("token is not null").drop("term_id").join(dictionary.select("token", "term_id"), "token")
+    rare = rare.select("doc_id", *by, "term_id").distinct().select(*by, "term_id", F.lit(1).cast("long").alias("n"))
+    counted = rows.where("token is null").select(*by, "term_id", "n").unionByName(rare)
+    return counted.groupBy(*by, "term_id").agg(F.sum("n").alias("df"))
+
+
 def frequency_by_ids(
     docs: DataFrame,
     dictionary: DataFrame,
@@ -150,12 +170,12 @@ def frequency_by_ids(
         dictionary = remove_stopwords(dictionary, stopwords, normalize, analyser)
     dictionary = settle(dictionary)
     encoded = encode_documents(docs, dictionary, by, stopwords, normalize, analyser, max_bytes)
-    counted = encoded.select(*by, F.explode_outer("ids").alias("term_id")).where("term_id is not null").groupBy(*by, "term_id").agg(F.count("*").alias("df"))
     size = dictionary.agg(F.sum(key_bytes("token"))).first()[0] or 0
-    if size > max_bytes:
-        rare = encoded.select("doc_id", *by, F.explode_outer("rest").alias("token")).join(dictionary.select("token", "term_id"), "token")
-        rare = rare.select("doc_id", *by, "term_id").distinct()
-        counted = counted.unionByName(rare.groupBy(*by, "term_id").agg(F.count("*").alias("df")))
+    if size <= max_bytes:
+        counted = encoded.select(*by, F.explode_outer("ids").alias("term_id")).where("term_id is not null")
+        counted = counted.groupBy(*by, "term_id").agg(F.count("*").alias("df"))
+    else:
+        counted = _frequency_with_rest(encoded, dictionary, by)
     terms = dictionary.select("term", "term_id").distinct()
     terms = F.broadcast(terms) if fits_broadcast(terms, "term", max_bytes) else terms
     return counted.join(terms, "term_id").select(*by, "term", "df")

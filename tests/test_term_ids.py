@@ -88,3 +88,17 @@ def test_another_analyser_leaves_the_rest_as_it_is(spark):
     words = tokenize(docs.where("doc_id = 1"), analyser=LETTERS).where(F.col("token") == "été")
     assert [r.pos for r in words.orderBy("pos").collect()] == [0, 2]
     assert remove_stopwords(words, ["É.té"], normalize=True, analyser=LETTERS).collect() == []
+
+
+def test_texts_are_encoded_once_for_ids_and_rare_words(spark, docs):
+    dictionary = term_ids.new_words(docs, None, STOP)
+    expected = as_set(document_frequency(docs, ("band",), STOP).select("band", "term", "df"))
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    counted = docs.withColumn("text", F.udf(seen, "string")("text"))
+    found = term_ids.frequency_by_ids(counted, dictionary, ("band",), STOP, max_bytes=4000)
+    assert as_set(found) == expected and read.value == 123
