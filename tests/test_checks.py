@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from bandlex.operators import index
 from checks import oracle
 from checks import queries as q
 
@@ -69,3 +70,27 @@ def test_generated_methods_stay_within_reach_of_the_compiler(spark, name, capsys
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
     assert sizes and max(sizes) < 8000
+
+
+PER_TASK = 32 << 10
+
+
+@pytest.mark.parametrize("name", ["idf"])
+def test_tasks_follow_the_text_and_leave_the_result_as_it_is(spark, monkeypatch, name):
+    """The words of a bounded share of the text meet in a task, however many tasks a shuffle has."""
+    query = entry_points.queries()[name]
+    expected = sorted(map(repr, query(spark, SF_DIR).collect()))
+    deal, dealt = index._colocate, []
+
+    def noted(docs, by, colocated):
+        found = deal(docs, by, colocated)
+        if not colocated:
+            dealt.append(int(re.search(r"hashpartitioning\(doc_id#\d+L?, (\d+)\)", plan_of(found))[1]))
+        return found
+
+    monkeypatch.setattr(deal, "__defaults__", (PER_TASK,))
+    monkeypatch.setattr(index, "_colocate", noted)
+    found = sorted(map(repr, query(spark, SF_DIR).collect()))
+    size = spark.read.parquet(f"{SF_DIR}/documents.parquet").selectExpr("sum(octet_length(text))").first()[0]
+    assert dealt == [-(-size // PER_TASK)] and dealt[0] > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert found == expected
