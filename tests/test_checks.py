@@ -73,9 +73,13 @@ def test_generated_methods_stay_within_reach_of_the_compiler(spark, name, capsys
 
 
 PER_TASK = 32 << 10
+INDEX_QUERIES = [
+    "idf",
+    "idf_bm25",
+]
 
 
-@pytest.mark.parametrize("name", ["idf"])
+@pytest.mark.parametrize("name", INDEX_QUERIES)
 def test_tasks_follow_the_text_and_leave_the_result_as_it_is(spark, monkeypatch, name):
     """The words of a bounded share of the text meet in a task, however many tasks a shuffle has."""
     query = entry_points.queries()[name]
