@@ -76,6 +76,7 @@ PER_TASK = 32 << 10
 INDEX_QUERIES = [
     "idf",
     "idf_bm25",
+    "idf_letters",
 ]
 
 
