@@ -77,6 +77,7 @@ INDEX_QUERIES = [
     "idf",
     "idf_bm25",
     "idf_letters",
+    "distinctive_terms",
 ]
 
 
