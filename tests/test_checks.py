@@ -78,6 +78,7 @@ INDEX_QUERIES = [
     "idf_bm25",
     "idf_letters",
     "distinctive_terms",
+    "idf_by_band",
 ]
 
 
