@@ -79,6 +79,7 @@ INDEX_QUERIES = [
     "idf_letters",
     "distinctive_terms",
     "idf_by_band",
+    "idf_by_band_drop_last_term",
 ]
 
 
