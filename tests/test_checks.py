@@ -80,6 +80,7 @@ INDEX_QUERIES = [
     "distinctive_terms",
     "idf_by_band",
     "idf_by_band_drop_last_term",
+    "idf_report",
 ]
 
 
