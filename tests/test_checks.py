@@ -81,6 +81,7 @@ INDEX_QUERIES = [
     "idf_by_band",
     "idf_by_band_drop_last_term",
     "idf_report",
+    "suspect_sample",
 ]
 
 
