@@ -82,6 +82,7 @@ INDEX_QUERIES = [
     "idf_by_band_drop_last_term",
     "idf_report",
     "suspect_sample",
+    "top_words",
 ]
 
 
