@@ -34,6 +34,8 @@ class Analyser(NamedTuple):
     #: a test of the characters that stay.
     stripped: str
     stays: Callable[[str], bool]
+    #: Whether every word is its own term.
+    own_terms: bool = False
 
 
 def _same(table: DataFrame, token: str, term: str) -> DataFrame:
@@ -43,12 +45,12 @@ def _same(table: DataFrame, token: str, term: str) -> DataFrame:
 
 def letter_pieces(text: Column) -> Column:
     """Runs of letters of any script, in lower case."""
-    return F.split(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " "), " ")
+    return F.split(F.lower(text), r"\P{L}+")
 
 
 #: Words of ``a`` to ``z`` between white space and hyphens, three letters at least, and stems.
 STEMS = Analyser("stems", word_pieces, lambda token: F.length(token) >= MIN_LENGTH, add_stem, "[^a-z]", lambda c: "a" <= c <= "z")
 #: Runs of letters of any script, two at least, each its own term.
-LETTERS = Analyser("letters", letter_pieces, lambda token: F.length(token) >= 2, _same, r"[^\p{L}]", str.isalpha)
+LETTERS = Analyser("letters", letter_pieces, lambda token: F.length(token) >= 2, _same, r"[^\p{L}]", str.isalpha, True)
 
 ANALYSERS = {a.name: a for a in (STEMS, LETTERS)}

@@ -8,35 +8,48 @@ counted, once per pair of different words.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bandlex.functions.analysis import STEMS, Analyser
 from bandlex.operators.lookup import MAX_BROADCAST_BYTES, fits_broadcast
 from bandlex.operators.row_lookup import key_bytes, row_lookup
+from bandlex.operators.row_members import Members, alike, among
 from bandlex.operators.tokens import Stopwords, listed_stopwords, remove_stopwords
-from bandlex.plans.settle import settle
+from bandlex.plans.settle import settle, settle_large
 
 MIN_COUNT = 5
 MIN_SCORE = 10.828  # chi-square with one degree of freedom, at 0.001
 JOINED = " "  # between the two words of a key
 
 
-def _neighbours(docs: DataFrame, text: str, stopwords: Stopwords, normalize: bool, analyser: Analyser) -> DataFrame:
-    """``docs`` without its text, with ``pairs``: for each place, the word there and the next
-    piece joined, null where one of the two is no word or a stop word of a list."""
-    kept = [name for name in docs.columns if name != text]
+def _word_test(stopwords: Stopwords, normalize: bool, analyser: Analyser) -> Callable[[Column], Column]:
+    """Whether a piece is a word, and no stop word of a list."""
     listed = [] if stopwords is None or isinstance(stopwords, DataFrame) else listed_stopwords(stopwords, normalize, analyser)
 
     def is_word(token: Column) -> Column:
         word = token.isNotNull() & analyser.keeps(token)
         return word & ~token.isin(listed) if listed else word
 
+    return is_word
+
+
+def _after(words: str) -> Column:
+    return F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0)))
+
+
+def _neighbours(docs: DataFrame, text: str, stopwords: Stopwords, normalize: bool, analyser: Analyser) -> DataFrame:
+    """``docs`` without its text, with ``pairs``: for each place, the word there and the next
+    piece joined, null where one of the two is no word or a stop word of a list."""
+    kept = [name for name in docs.columns if name != text]
+    is_word = _word_test(stopwords, normalize, analyser)
     # generators of one row: what they make is not copied into the lambdas above them
     rows = docs.select(*kept, F.explode(F.array(analyser.pieces(F.col(text)))).alias("pieces"))
     words = F.transform("pieces", lambda token: F.when(is_word(token), token))
     rows = rows.select(*kept, F.explode(F.array(words)).alias("words"))
-    pairs = F.zip_with("words", F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(JOINED), b))
+    pairs = F.zip_with("words", _after("words"), lambda a, b: F.concat(a, F.lit(JOINED), b))
     return rows.select(*kept, pairs.alias("pairs"))
 
 
@@ -46,11 +59,9 @@ def _following(docs: DataFrame, text: str, stopwords: Stopwords, normalize: bool
     kept = [name for name in docs.columns if name != text]
     listed = [] if stopwords is None or isinstance(stopwords, DataFrame) else listed_stopwords(stopwords, normalize, analyser)
     rows = docs.select(*kept, F.explode(F.array(analyser.pieces(F.col(text)))).alias("pieces"))
-    after = F.slice("pieces", 2, F.greatest(F.size("pieces") - 1, F.lit(0)))
-    both = F.arrays_zip(F.col("pieces").alias("word"), after.alias("next"))
-    # the outer form, as for words: the inner one would build the arrays twice
-    rows = rows.select(*kept, F.posexplode_outer(both).alias("pos", "both"))
-    rows = rows.select(*kept, "pos", *(F.col("both").getField(name).alias(name) for name in ("word", "next")))
+    # the outer form, as for words: the inner one would build the array twice
+    rows = rows.select(*kept, "pieces", F.posexplode_outer("pieces").alias("pos", "word"))
+    rows = rows.select(*kept, "pos", "word", F.get("pieces", F.col("pos") + 1).alias("next"))
     for name in ("word", "next"):
         rows = rows.where(analyser.keeps(F.col(name)))
         rows = rows.where(~F.col(name).isin(listed)) if listed else rows
@@ -88,6 +99,15 @@ def _counted(docs: DataFrame, text: str, stopwords: Stopwords, normalize: bool,
     return counted.select("pair", "n", "first", "second")
 
 
+def _settled_counts(docs: DataFrame, text: str, stopwords: Stopwords, normalize: bool, analyser: Analyser) -> DataFrame:
+    """`_counted`, computed once.  Terms that are the words of the pair are not stored."""
+    counted = _counted(docs, text, stopwords, normalize, analyser)
+    if not analyser.own_terms:
+        return settle_large(counted)
+    stored = settle_large(counted.select("pair", "n"))
+    return stored.select("pair", "n", *(F.substring_index("pair", JOINED, at).alias(term) for at, term in ((1, "first"), (-1, "second"))))
+
+
 def find_phrases(
     docs: DataFrame,
     text: str = "text",
@@ -103,18 +123,37 @@ def find_phrases(
     ``words`` are the pairs of words that have these terms.  Two words follow each other if
     nothing is between them, no stop word either.  The result is settled.
     """
-    counted = settle(_counted(docs, text, stopwords, normalize, analyser))
-    # one exchange by term: most pairs are rare, and only those of frequent terms are listed
-    of_terms = counted.withColumn("both", F.sum("n").over(Window.partitionBy("first", "second"))).where(F.col("both") >= min_count)
-    often = of_terms.groupBy("first", "second").agg(F.first("both").alias("n"), F.array_sort(F.collect_list("pair")).alias("words"))
-    firsts = counted.groupBy("first").agg(F.sum("n").alias("n_first"))
-    seconds = counted.groupBy("second").agg(F.sum("n").alias("n_second"))
-    total = counted.agg(F.sum("n")).scalar()
-    rows = often.join(firsts, "first").join(seconds, "second").withColumn("total", total)
+    counted = _settled_counts(docs, text, stopwords, normalize, analyser)
+    return _scored(counted, analyser, min_count, min_score)
+
+
+def _scored(counted: DataFrame, analyser: Analyser, min_count: int = MIN_COUNT, min_score: float = MIN_SCORE) -> DataFrame:
+    """`find_phrases` from the settled counts of pairs."""
+    if analyser.own_terms:
+        # a pair of terms is one pair of words, and has been counted whole
+        often = counted.where(F.col("n") >= min_count).select("first", "second", "n", F.array("pair").alias("words"))
+    else:
+        # one exchange by term: most pairs are rare, and only those of frequent terms are listed
+        of_terms = counted.withColumn("both", F.sum("n").over(Window.partitionBy("first", "second"))).where(F.col("both") >= min_count)
+        often = of_terms.groupBy("first", "second").agg(F.first("both").alias("n"), F.array_sort(F.collect_list("pair")).alias("words"))
+    # how often a term is a first and a second one, in one pass over the pairs
+    none = F.lit(0).cast("long")
+    sides = F.array(
+        F.struct(F.col("first").alias("term"), F.col("n").alias("n_first"), none.alias("n_second")),
+        F.struct(F.col("second").alias("term"), none.alias("n_first"), F.col("n").alias("n_second")),
+    )
+    terms = counted.select(F.inline(sides)).groupBy("term").agg(F.sum("n_first").alias("n_first"), F.sum("n_second").alias("n_second"))
+    terms = settle_large(terms)
+    total = terms.agg(F.sum("n_first")).scalar()
+    rows = often
+    for term in ("first", "second"):
+        # no sort: a task holds its share of the terms
+        rows = rows.join(terms.select(F.col("term").alias(term), f"n_{term}").hint("shuffle_hash"), term)
+    rows = rows.withColumn("total", total)
     score = log_likelihood(F.col("n"), F.col("n_first"), F.col("n_second"), F.col("total"))
     rows = rows.withColumn("score", score)
     kept = (F.col("score") >= min_score) & (F.col("n") * F.col("total") > F.col("n_first") * F.col("n_second"))
-    return settle(rows.where(kept).select("first", "second", "n", "score", "words"))
+    return settle_large(rows.where(kept).select("first", "second", "n", "score", "words"))
 
 
 def _taken(places: Column) -> Column:
@@ -182,15 +221,68 @@ def phrase_places(
     return taken.join(names, "id").select(*kept, "pos", "first", "second")
 
 
-def phrases_in(docs: DataFrame, **options) -> DataFrame:
+def _hash_of_key(key: Column) -> Column:
+    return F.xxhash64(F.substring_index(key, JOINED, 1), F.substring_index(key, JOINED, -1))
+
+
+def _phrase_members(counted: DataFrame, keys: DataFrame, max_bytes: int) -> tuple[Members, Members] | None:
+    """Of the hashes of all pairs in ``counted``: those that may be of ``keys`` (``key, h``), and
+    of these those that are not.
+
+    None where hashes do not tell, as two phrases, or a phrase and another pair, share one, and
+    where a table is above the bound.
+    """
+    near = alike(keys.select("h"), keys.count(), max_bytes)
+    if near is None or keys.groupBy("h").count().where("count > 1").limit(1).count():
+        return None
+    pairs = counted.select(F.col("pair").alias("key"), _hash_of_key(F.col("pair")).alias("h"))
+    others = settle(pairs.where(near.has(near.whole, F.col("h"))).join(keys.select("key").hint("shuffle_hash"), "key", "left_anti").select("h").distinct())
+    far = among(others, others.count(), max_bytes)
+    if far is None or others.join(keys.select("h"), "h", "left_semi").limit(1).count():
+        return None
+    return near, far
+
+
+def _taken_hashes(
+    docs: DataFrame, text: str, stopwords: Stopwords, normalize: bool, analyser: Analyser, near: Members, far: Members
+) -> DataFrame:
+    """``h, taken``: how often the pair of a hash is taken, as `_taken` does, within the rows.
+    Phrases are the hashes that ``near`` has and ``far`` has not."""
+    is_word = _word_test(stopwords, normalize, analyser)
+    rows = docs.select(F.explode(F.array(analyser.pieces(F.col(text)))).alias("pieces"))
+    rows = rows.select(F.explode(F.array(F.transform("pieces", lambda token: F.when(is_word(token), token)))).alias("words"))
+    both = F.zip_with("words", _after("words"), lambda a, b: F.when(a.isNotNull() & b.isNotNull(), F.xxhash64(a, b)))
+    rows = rows.select(F.explode(F.array(both)).alias("hashes"))
+    rows = rows.select("hashes", near.whole.alias("near"), far.whole.alias("far"))
+    marks = F.transform("hashes", lambda h: F.when(near.has(F.col("near"), h) & ~far.has(F.col("far"), h), "1").otherwise("0"))
+    # from the left: of each two places side by side, the first
+    marks = F.split(F.replace(F.array_join(marks, ""), F.lit("11"), F.lit("10")), "")
+    rows = rows.select("hashes", marks.alias("marks"))
+    # the outer form: the inner one would make the marks twice
+    rows = rows.select("hashes", F.posexplode_outer("marks").alias("pos", "mark")).where("mark = '1'")
+    return rows.groupBy(F.get("hashes", "pos").alias("h")).agg(F.count("*").alias("taken"))
+
+
+def phrases_in(docs: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, **options) -> DataFrame:
     """``first, second, n, score, taken``: the phrases of ``docs``, and how often each is kept
-    whole when its documents are divided.  Options are those of `find_phrases`."""
-    found = find_phrases(docs, **options)
+    whole when its documents are divided.  Options are those of `find_phrases`.
+
+    No place is shuffled while a table of the phrases' fingerprints is within ``max_bytes``.
+    """
     shared = [options.get(k, v) for k, v in (("stopwords", None), ("normalize", False), ("analyser", STEMS))]
     text = options.get("text", "text")
-    places, keys = _places(docs.select(text), found, text, *shared, MAX_BROADCAST_BYTES)
-    # counted by pair of words before the terms are joined
-    per_pair = places.groupBy("id").agg(F.count("*").alias("taken")).join(keys, "id")
+    limits = {k: v for k, v in options.items() if k in ("min_count", "min_score")}
+    counted = _settled_counts(docs, text, *shared)
+    found = _scored(counted, shared[-1], **limits)
+    keys = found.select(F.explode("words").alias("key"), "first", "second").withColumn("h", _hash_of_key(F.col("key")))
+    # words of a table of stop words stand in the rows, but not among the pairs that were counted
+    members = None if isinstance(shared[0], DataFrame) else _phrase_members(counted, keys.select("key", "h"), max_bytes)
+    if members is not None:
+        per_pair = _taken_hashes(docs, text, *shared, *members).join(keys, "h")
+    else:
+        places, keys = _places(docs.select(text), found, text, *shared, max_bytes)
+        # counted by pair of words before the terms are joined
+        per_pair = places.groupBy("id").agg(F.count("*").alias("taken")).join(keys, "id")
     taken = per_pair.groupBy("first", "second").agg(F.sum("taken").alias("taken"))
     rows = found.join(taken, ["first", "second"], "left")
     return rows.select("first", "second", "n", "score", F.coalesce("taken", F.lit(0)).alias("taken"))

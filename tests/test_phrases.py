@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 
 from bandlex.functions.analysis import LETTERS
-from bandlex.operators import phrases
+from bandlex.operators import phrases, row_members
 from porter import stem
 from pyspark.sql import functions as F
 
@@ -109,3 +109,49 @@ def test_places_are_not_sorted_by_their_pairs(docs):
     found = phrases.find_phrases(docs, stopwords=STOP)
     plan = phrases.phrase_places(docs, found, stopwords=STOP, max_bytes=0)._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin [key" in plan and "Sort [key" not in plan
+
+
+def test_no_place_is_shuffled_where_only_fingerprints_fit(docs, texts):
+    """Words of phrases beyond the bound: places stay in their rows while 16 bits a phrase are within it."""
+    bound = 2000
+    found = phrases.find_phrases(docs, stopwords=STOP)
+    keys = found.select(F.explode("words").alias("key"))
+    assert keys.agg(F.sum(F.octet_length("key") + 64)).first()[0] > bound
+    rows = phrases.phrases_in(docs, max_bytes=bound, stopwords=STOP)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert "Window" not in plan and moved and not any("pos" in line or "key" in line or "row" in line for line in moved)
+    expected, _ = brute(texts)
+    assert {(r.first, r.second): (r.n, r.taken) for r in rows.collect()} == {k: (n, t) for k, (n, _, t) in expected.items()}
+
+
+@pytest.mark.parametrize("bits", [0, 64])
+def test_pairs_that_look_like_phrases_are_no_phrases(docs, texts, monkeypatch, bits):
+    """Without fingerprints every pair looks like those of its bucket; with none of the hash left, all pairs share one."""
+    if bits == 0:
+        monkeypatch.setattr(row_members, "_fingerprint", lambda h: F.shiftright(h, 63).cast("smallint"))
+    else:
+        monkeypatch.setattr(phrases, "_hash_of_key", lambda key: F.lit(1).cast("long"))
+    expected, _ = brute(texts)
+    rows = phrases.phrases_in(docs, stopwords=STOP).collect()
+    assert {(r.first, r.second): (r.n, r.taken) for r in rows} == {k: (n, t) for k, (n, _, t) in expected.items()}
+
+
+def test_members_of_a_set(spark):
+    """All hashes inside, few outside, and by their whole hash none outside."""
+    hashes = spark.range(60000).select(F.xxhash64("id").alias("h"), (F.col("id") % 6 == 0).alias("inside"))
+    inside = hashes.where("inside").select("h")
+    for kind, least, most in ((row_members.alike, 1, 500), (row_members.among, 0, 0)):
+        table = kind(inside, 10000)
+        rows = hashes.select("inside", table.has(table.whole, F.col("h")).alias("has")).groupBy("inside", "has").count().collect()
+        n = {(r.inside, r.has): r["count"] for r in rows}
+        assert n[True, True] == 10000 and (True, False) not in n and least <= n.get((False, True), 0) <= most
+
+
+def test_terms_that_are_words_are_counted_in_one_exchange(docs):
+    """The counts of pairs are neither stored with their terms nor dealt again by these."""
+    counted = phrases._settled_counts(docs, "text", STOP, False, LETTERS)
+    found = phrases._scored(counted, LETTERS)
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+    whole = phrases._counted(docs, "text", STOP, False, LETTERS)
+    assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, whole.collect()))
