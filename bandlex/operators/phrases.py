@@ -137,12 +137,9 @@ def _scored(counted: DataFrame, analyser: Analyser, min_count: int = MIN_COUNT,
         of_terms = counted.withColumn("both", F.sum("n").over(Window.partitionBy("first", "second"))).where(F.col("both") >= min_count)
         often = of_terms.groupBy("first", "second").agg(F.first("both").alias("n"), F.array_sort(F.collect_list("pair")).alias("words"))
     # how often a term is a first and a second one, in one pass over the pairs
-    none = F.lit(0).cast("long")
-    sides = F.array(
-        F.struct(F.col("first").alias("term"), F.col("n").alias("n_first"), none.alias("n_second")),
-        F.struct(F.col("second").alias("term"), none.alias("n_first"), F.col("n").alias("n_second")),
-    )
-    terms = counted.select(F.inline(sides)).groupBy("term").agg(F.sum("n_first").alias("n_first"), F.sum("n_second").alias("n_second"))
+    sides = counted.select("n", F.posexplode(F.array("first", "second")).alias("side", "term"))
+    of_side = (F.sum(F.when(F.col("side") == i, F.col("n")).otherwise(0)).alias(f"n_{name}") for i, name in enumerate(("first", "second")))
+    terms = sides.groupBy("term").agg(*of_side)
     terms = settle_large(terms)
     total = terms.agg(F.sum("n_first")).scalar()
     rows = often
@@ -232,8 +229,9 @@ def _phrase_members(counted: DataFrame, keys: DataFrame, max_bytes: int) -> tupl
     None where hashes do not tell, as two phrases, or a phrase and another pair, share one, and
     where a table is above the bound.
     """
-    near = alike(keys.select("h"), keys.count(), max_bytes)
-    if near is None or keys.groupBy("h").count().where("count > 1").limit(1).count():
+    n, most = keys.groupBy("h").count().agg(F.coalesce(F.sum("count"), F.lit(0)), F.max("count")).first()
+    near = alike(keys.select("h"), n, max_bytes)
+    if near is None or (most or 0) > 1:
         return None
     pairs = counted.select(F.col("pair").alias("key"), _hash_of_key(F.col("pair")).alias("h"))
     others = settle(pairs.where(near.has(near.whole, F.col("h"))).join(keys.select("key").hint("shuffle_hash"), "key", "left_anti").select("h").distinct())

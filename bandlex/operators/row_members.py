@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from bandlex.operators.lookup import MAX_BROADCAST_BYTES
 
-PER_BUCKET = (4, 8, 16, 32)  # hashes, about: the fewest with which a table is within its bound
+PER_BUCKET = (8, 16, 32)  # hashes, about: the fewest with which a table is within its bound
 BUCKET_BYTES = 24  # beside the hashes
 
 
